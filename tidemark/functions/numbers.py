@@ -14,8 +14,8 @@ MAX_DOUBLE = 1.7976931348623157e308
 
 def strict_double(text: Column) -> Column:
     """The double a text stands for, or NULL. Never fails the job, never infinite."""
-    value = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    return F.when(value.between(-MAX_DOUBLE, MAX_DOUBLE), value)
+    value = F.when(text.rlike(NUMBER_PATTERN), text).try_cast("double")
+    return F.when(F.abs(value) <= MAX_DOUBLE, value)
 
 
 def is_strict_number(text: Column) -> Column:

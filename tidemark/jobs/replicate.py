@@ -75,28 +75,35 @@ def _stats(written: DataFrame) -> dict[str, int]:
 # -- backfill ---------------------------------------------------------------------------
 
 
-def plan_chunks(store: Store, records: DataFrame, chunk_rows: int) -> None:
+def plan_chunks(store: Store, records: DataFrame, chunk_rows: int) -> bool:
     """Append the chunks of all ids beyond the last planned chunk to the ledger."""
     known = store.ledger().where(F.col("kind") == st.CHUNK)
     top = known.agg(F.max("last_id").alias("id"), F.max("batch_id").alias("n")).first()
     last_id, n = top["id"] or 0, top["n"] or 0
-    plan = page_plan(records.where(after_cursor(records, ["id"], [last_id])), chunk_rows, after_page=n)
+    new = records.where(after_cursor(records, ["id"], [last_id])).select("id")
+    ends = new.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last_id")).first()
+    common = {"mode": st.BACKFILL, "kind": st.CHUNK, "at_micros": st.now_micros()}
+    if ends["n"] <= chunk_rows:
+        if ends["n"]:
+            one = {"batch_id": n + 1, "lo_id": last_id, "last_id": ends["last_id"]}
+            store.append_ledger({**common, **one})
+        return ends["n"] > 0
+    plan = page_plan(new, chunk_rows, after_page=n)
     # Each chunk starts where the one before ends, so ids that turn up in a gap are read.
-    ends = plan.select((F.col("page") + 1).alias("page"), F.col("last_id").alias("lo_id"))
-    rows = plan.join(ends, "page", "left").withColumns(
+    starts = plan.select((F.col("page") + 1).alias("page"), F.col("last_id").alias("lo_id"))
+    rows = plan.join(starts, "page", "left").withColumns(
         {
-            "mode": F.lit(st.BACKFILL),
-            "kind": F.lit(st.CHUNK),
+            **{name: F.lit(value) for name, value in common.items()},
             "batch_id": F.col("page"),
-            "lo_id": F.coalesce("lo_id", F.lit(last_id)).cast("long"),
-            "at_micros": F.lit(st.now_micros()).cast("long"),
+            "lo_id": F.coalesce("lo_id", F.lit(last_id)),
         }
     )
     filled = [
-        F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in LEDGER.fields
     ]
     store.append_ledger_table(rows.select(*filled))
+    return True
 
 
 def pending_chunks(chunks: DataFrame, commits: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -119,21 +126,15 @@ def run_backfill(
     done = 0
     while True:
         todo = _todo(store)
-        if not todo:
-            plan_chunks(store, source(), chunk_rows)
-            todo = _todo(store)
-            if not todo:
-                if store.status(st.BACKFILL) != st.COMPLETED:
-                    store.set_status(st.BACKFILL, st.COMPLETED)
-                return done
-        for chunk in todo:
-            if done == max_chunks or store.status(st.BACKFILL) == st.PAUSED:
+        if not todo and not plan_chunks(store, source(), chunk_rows):
+            if store.progress(st.BACKFILL).status != st.COMPLETED:
+                store.set_status(st.BACKFILL, st.COMPLETED)
+            return done
+        for chunk in todo or _todo(store):
+            progress = store.progress(st.BACKFILL)
+            if done == max_chunks or progress.status == st.PAUSED:
                 return done
-            if store.status(st.BACKFILL) != st.RUNNING:
-                store.set_status(st.BACKFILL, st.RUNNING)
-            batch = store.plan(
-                st.BACKFILL, chunk["batch_id"], lo_id=chunk["lo_id"], last_id=chunk["last_id"]
-            )
+            batch = store.plan(progress, st.BACKFILL, **chunk.asDict())
             rows = source()
             in_chunk = after_cursor(rows, ["id"], [batch.lo_id]) & (F.col("id") <= batch.last_id)
             write_batch(store, batch, rows.where(in_chunk), sinks)
@@ -180,36 +181,23 @@ def run_incremental(
     The upper bound goes into the ledger before the batch is read. Repeat until False, or
     run on a schedule.
     """
-    if store.status(st.INCREMENTAL) == st.PAUSED:
+    progress = store.progress(st.INCREMENTAL)
+    if progress.status == st.PAUSED:
         return False
-    open_id = store.open_plan(st.INCREMENTAL)
-    if open_id is not None:
-        batch = store.plan(st.INCREMENTAL, open_id)
+    if progress.open:
+        batch = store.plan(progress, st.INCREMENTAL, progress.open.batch_id)
     else:
-        lo = cursor(store)
+        lo = progress.cursor
         hi = next_bound(source(), lo, max_rows)
         if hi is None:
             return False
-        batch = store.plan(
-            st.INCREMENTAL,
-            store.next_batch_id(st.INCREMENTAL),
-            lo_micros=lo[0],
-            lo_id=lo[1],
-            hi_micros=hi[0],
-            hi_id=hi[1],
-        )
-    if store.status(st.INCREMENTAL) != st.RUNNING:
-        store.set_status(st.INCREMENTAL, st.RUNNING)
-    bounds = (batch.lo_micros, batch.lo_id), (batch.hi_micros, batch.hi_id)
-    write_batch(store, batch, bounded_range(source(), *bounds, lookback_micros), sinks)
+        bounds = {"lo_micros": lo[0], "lo_id": lo[1], "hi_micros": hi[0], "hi_id": hi[1]}
+        batch = store.plan(progress, st.INCREMENTAL, progress.next_batch_id, **bounds)
+    lo, hi = (batch.lo_micros, batch.lo_id), (batch.hi_micros, batch.hi_id)
+    write_batch(store, batch, bounded_range(source(), lo, hi, lookback_micros), sinks)
     return True
 
 
-def cursor(store: Store) -> tuple[int | None, int]:
-    row = store.checkpoints().where(F.col("mode") == st.INCREMENTAL).first()
-    return (row["last_watermark_micros"], row["last_watermark_id"]) if row else (None, 0)
-
-
 # -- replay -----------------------------------------------------------------------------
 
 
@@ -221,8 +209,9 @@ def run_replay(store: Store, source: Source) -> int:
     """
     if store.dead_letter_log().isEmpty():
         return 0
-    open_id = store.open_plan(st.REPLAY)
-    batch = store.plan(st.REPLAY, open_id or store.next_batch_id(st.REPLAY))
+    progress = store.progress(st.REPLAY)
+    batch_id = progress.open.batch_id if progress.open else progress.next_batch_id
+    batch = store.plan(progress, st.REPLAY, batch_id)
     at, seq = F.timestamp_micros(F.lit(batch.at_micros)), F.lit(batch.at_micros).cast("long")
     plan = deadletter.replay_plan(store.dead_letters(), source())
     rows = judged(deadletter.replayable(plan)).withColumns(

@@ -5,7 +5,7 @@ Layout below ``root``, all plain parquet::
     changes/mode=M/batch_id=N/attempt=A/       every row of a batch, accepted or not
     dead_letters/mode=M/batch_id=N/attempt=A/  failures and replay outcomes
     snapshots/<id>/                            state, bucketed and sorted by id
-    ledger/entry=<uuid>/                       one small file per step
+    ledger/writer=<uuid>/                      one small file per step
 
 A batch is written once, as changes; the state, the event stream and the dead letters are
 all read from that one copy. Every write goes to a folder of its own, so a retry or the
@@ -17,14 +17,14 @@ Streams see every attempt, which is at-least-once delivery; the consumer dedupes
 from __future__ import annotations
 
 import hashlib
+import threading
 import time
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,47 +50,47 @@ def now_micros() -> int:
     return time.time_ns() // 1000
 
 
+def _standing() -> list[Column]:
+    """The aggregates over ledger rows that :func:`checkpoints` reads off."""
+    by_operator = (F.col("kind") == STATUS) & (F.col("actor") == OPERATOR)
+    by_worker = (F.col("kind") == STATUS) & (F.col("actor") == WORKER)
+    done, at = F.col("kind") == COMMIT, F.col("at_micros")
+    mark = F.when(done & F.col("hi_micros").isNotNull(), F.struct("hi_micros", "hi_id"))
+    return [
+        F.max_by("status", F.when(by_operator, at)).alias("_command"),
+        F.max(F.when(by_operator, at)).alias("_command_at"),
+        F.max_by("status", F.when(by_worker, at)).alias("_worker"),
+        F.max(F.when(by_worker, at)).alias("_worker_at"),
+        F.coalesce(F.max(F.when(done, F.col("last_id"))), F.lit(0).cast("long")).alias("last_id"),
+        F.max(mark).alias("_mark"),
+        F.coalesce(F.sum(F.when(done, F.col("n_rows"))), F.lit(0).cast("long")).alias("rows_processed"),
+        F.count_if(done).alias("batches"),
+    ]
+
+
+def _status() -> Column:
+    return (
+        F.when(F.col("_command") == PAUSED, PAUSED)
+        .when(F.col("_worker_at") > F.coalesce("_command_at", F.lit(0)), F.col("_worker"))
+        .otherwise(IDLE)
+    )
+
+
 def checkpoints(ledger: DataFrame) -> DataFrame:
     """One row per mode: status, cursors, rows and batches so far. All from one aggregate.
 
     An operator's pause holds until the operator resumes, whatever the worker reports
     meanwhile; after a resume the mode is idle until the worker reports again.
     """
-    by_operator = (F.col("kind") == STATUS) & (F.col("actor") == OPERATOR)
-    by_worker = (F.col("kind") == STATUS) & (F.col("actor") == WORKER)
-    done = F.col("kind") == COMMIT
-    at = F.col("at_micros")
-    mark = F.when(done & F.col("hi_micros").isNotNull(), F.struct("hi_micros", "hi_id"))
-    command, command_at = F.col("_command"), F.coalesce("_command_at", F.lit(0))
-    status = (
-        F.when(command == PAUSED, PAUSED)
-        .when(F.col("_worker_at") > command_at, F.col("_worker"))
-        .otherwise(IDLE)
-    )
-    return (
-        ledger.where(F.col("kind").isin(COMMIT, STATUS))
-        .groupBy("mode")
-        .agg(
-            F.max_by("status", F.when(by_operator, at)).alias("_command"),
-            F.max(F.when(by_operator, at)).alias("_command_at"),
-            F.max_by("status", F.when(by_worker, at)).alias("_worker"),
-            F.max(F.when(by_worker, at)).alias("_worker_at"),
-            F.coalesce(F.max(F.when(done, F.col("last_id"))), F.lit(0).cast("long")).alias("last_id"),
-            F.max(mark).alias("_mark"),
-            F.coalesce(F.sum(F.when(done, F.col("n_rows"))), F.lit(0).cast("long")).alias(
-                "rows_processed"
-            ),
-            F.count_if(done).alias("batches"),
-        )
-        .select(
-            "mode",
-            status.alias("status"),
-            "last_id",
-            F.col("_mark.hi_micros").alias("last_watermark_micros"),
-            F.coalesce("_mark.hi_id", F.lit(0).cast("long")).alias("last_watermark_id"),
-            "rows_processed",
-            "batches",
-        )
+    rows = ledger.where(F.col("kind").isin(COMMIT, STATUS))
+    return rows.groupBy("mode").agg(*_standing()).select(
+        "mode",
+        _status().alias("status"),
+        "last_id",
+        F.col("_mark.hi_micros").alias("last_watermark_micros"),
+        F.coalesce("_mark.hi_id", F.lit(0).cast("long")).alias("last_watermark_id"),
+        "rows_processed",
+        "batches",
     )
 
 
@@ -114,30 +114,46 @@ class Batch:
         return f"mode={self.mode}/batch_id={self.batch_id}/attempt={self.attempt}"
 
 
+PLANNED = ["batch_id", "attempt", "at_micros", "lo_id", "last_id", "lo_micros", "hi_micros", "hi_id"]
+
+
+@dataclass(frozen=True)
+class Progress:
+    """What a run needs to know of its mode; ``open`` is planned but not committed."""
+
+    status: str
+    cursor: tuple[int | None, int]
+    next_batch_id: int
+    open: Batch | None
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = pin_utc(spark), root.rstrip("/")
+        self._id = uuid.uuid4().hex
 
     @classmethod
     def create(cls, spark: SparkSession, root: str) -> Store:
         """A new store; both scanning modes start idle."""
         store = cls(spark, root)
-        at = now_micros()
-        store.append_ledger(
-            {"mode": m, "kind": STATUS, "status": IDLE, "actor": WORKER, "at_micros": at}
-            for m in (BACKFILL, INCREMENTAL)
-        )
+        store.append_ledger(*[store._status_row(m, IDLE) for m in (BACKFILL, INCREMENTAL)])
         return store
 
     # -- ledger ---------------------------------------------------------------------
 
-    def append_ledger(self, rows: Iterable[dict]) -> None:
+    def append_ledger(self, *rows: dict) -> None:
         """Append rows as one file: all of them become visible, or none."""
-        full = [tuple(r.get(c) for c in LEDGER.names) for r in rows]
-        self.append_ledger_table(self.spark.createDataFrame(full, LEDGER))
+        cells = [
+            F.struct(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
+            for r in rows
+        ]
+        self.append_ledger_table(self.spark.range(1).select(F.inline(F.array(*cells))))
 
     def append_ledger_table(self, rows: DataFrame) -> None:
-        rows.coalesce(1).write.parquet(f"{self.root}/ledger/entry={uuid.uuid4().hex}")
+        # Two jobs must not append to one folder at a time: the first to finish would
+        # clear the other's temporary files. So each thread of each process has its own.
+        folder = f"{self.root}/ledger/writer={self._id}-{threading.get_ident()}"
+        rows.coalesce(1).write.mode("append").parquet(folder)
 
     def ledger(self) -> DataFrame:
         """A few rows per batch, whatever the size of the batches."""
@@ -149,59 +165,54 @@ class Store:
     def checkpoints(self) -> DataFrame:
         return checkpoints(self.ledger())
 
-    def status(self, mode: str) -> str:
-        row = self.checkpoints().where(F.col("mode") == mode).select("status").first()
-        return row["status"] if row else IDLE
-
-    def set_status(self, mode: str, status: str, actor: str = WORKER) -> None:
-        at = now_micros()
-        self.append_ledger(
-            [{"mode": mode, "kind": STATUS, "status": status, "actor": actor, "at_micros": at}]
+    def progress(self, mode: str) -> Progress:
+        """Where a mode stands, from one read of the ledger."""
+        planned = F.col("kind") == PLAN
+        row = (
+            self.ledger()
+            .where(F.col("mode") == mode)
+            .agg(
+                *_standing(),
+                F.coalesce(F.max(F.when(F.col("kind") == COMMIT, F.col("batch_id"))), F.lit(0)).alias("top"),
+                F.max(F.when(planned, F.struct(*PLANNED))).alias("plan"),
+            )
+            .withColumn("status", _status())
+            .first()
         )
+        mark, plan, top = row["_mark"], row["plan"], row["top"]
+        # Batches of a mode commit in order, so only the last plan can be open.
+        open_ = Batch(mode=mode, **plan.asDict()) if plan and plan["batch_id"] > top else None
+        cursor = (mark["hi_micros"], mark["hi_id"]) if mark else (None, 0)
+        return Progress(row["status"], cursor, top + 1, open_)
+
+    def _status_row(self, mode: str, status: str, actor: str = WORKER) -> dict:
+        return {"mode": mode, "kind": STATUS, "status": status, "actor": actor, "at_micros": now_micros()}
+
+    def set_status(self, mode: str, status: str) -> None:
+        self.append_ledger(self._status_row(mode, status))
 
     def pause(self, mode: str) -> None:
-        self.set_status(mode, PAUSED, OPERATOR)
+        self.append_ledger(self._status_row(mode, PAUSED, OPERATOR))
 
     def resume(self, mode: str) -> None:
-        self.set_status(mode, IDLE, OPERATOR)
+        self.append_ledger(self._status_row(mode, IDLE, OPERATOR))
 
-    def plan(self, mode: str, batch_id: int, **bounds: int | None) -> Batch:
+    def plan(self, progress: Progress, mode: str, batch_id: int, **bounds: int | None) -> Batch:
         """Write down what a batch will cover before any of its rows are read.
 
         A batch planned before keeps its bounds and time and gets a new attempt.
         """
-        same = (F.col("mode") == mode) & (F.col("batch_id") == batch_id)
-        names = ["attempt", "at_micros", "lo_id", "last_id", "lo_micros", "hi_micros", "hi_id"]
-        last = (
-            self.ledger()
-            .where((F.col("kind") == PLAN) & same)
-            .agg(F.max_by(F.struct(*names), "attempt").alias("p"))
-            .first()["p"]
-        )
-        if last is None:
-            batch = Batch(mode, batch_id, 1, now_micros(), **bounds)
+        open_ = progress.open
+        if open_ is not None and open_.batch_id == batch_id:
+            batch = replace(open_, attempt=open_.attempt + 1)
         else:
-            batch = Batch(mode, batch_id, **{**last.asDict(), "attempt": last["attempt"] + 1})
-        self.append_ledger([{**vars(batch), "kind": PLAN}])
+            batch = Batch(mode, batch_id, 1, now_micros(), **bounds)
+        report = [] if progress.status == RUNNING else [self._status_row(mode, RUNNING)]
+        self.append_ledger({**vars(batch), "kind": PLAN}, *report)
         return batch
 
-    def open_plan(self, mode: str) -> int | None:
-        """The batch that was planned but not committed, if a run died in between."""
-        rows = self.ledger().where((F.col("mode") == mode) & F.col("kind").isin(PLAN, COMMIT))
-        open_ = rows.groupBy("batch_id").agg(F.bool_or(F.col("kind") == COMMIT).alias("done"))
-        return open_.where(~F.col("done")).agg(F.min("batch_id").alias("b")).first()["b"]
-
-    def next_batch_id(self, mode: str) -> int:
-        mine = self.ledger().where(F.col("mode") == mode)
-        return mine.agg(F.coalesce(F.max("batch_id"), F.lit(0)).alias("b")).first()["b"] + 1
-
-    def is_committed(self, mode: str, batch_id: int) -> bool:
-        same = (F.col("mode") == mode) & (F.col("batch_id") == batch_id)
-        return not self.commits().where(same).isEmpty()
-
     def commit(self, batch: Batch, stats: dict[str, int]) -> None:
-        row = {**vars(batch), **stats, "kind": COMMIT, "at_micros": now_micros()}
-        self.append_ledger([row])
+        self.append_ledger({**vars(batch), **stats, "kind": COMMIT, "at_micros": now_micros()})
 
     # -- logs -----------------------------------------------------------------------
 
@@ -313,7 +324,7 @@ class Store:
         )
         at = now_micros()
         self.append_ledger(
-            {
+            *[{
                 "mode": r["mode"],
                 "kind": SNAPSHOT,
                 "batch_id": r["batch_id"],
@@ -321,5 +332,5 @@ class Store:
                 "n_buckets": n_buckets,
                 "at_micros": at,
             }
-            for r in latest
+            for r in latest]
         )

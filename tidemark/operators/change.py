@@ -31,23 +31,17 @@ def op_kind() -> Column:
     return F.when(is_deleted(), DELETED).when(F.col("version") > 1, UPDATED).otherwise(CREATED)
 
 
-def reject_reason() -> Column:
-    """Why the typed state refuses a row; NULL if it takes it.
+def judged(df: DataFrame) -> DataFrame:
+    """Rows with ``amount_value`` and ``reject_reason``, NULL if the typed state takes them.
 
-    Deleted rows carry no document, so they are never typed. A NULL amount is an absent
-    field, not a bad one.
+    The verdict stays a column of the row, so accepted and rejected rows of one batch need
+    no join to part ways. Deleted rows carry no document, so they are never refused. A
+    NULL amount is an absent field, not a bad one.
     """
-    bad = F.col("amount").isNotNull() & strict_double(F.col("amount")).isNull()
+    bad = F.col("amount").isNotNull() & F.col("amount_value").isNull()
     reason = error_text(F.lit(MAPPING_ERROR), F.concat(F.lit("bad amount "), F.col("amount")))
-    return F.when(~is_deleted() & bad, reason)
-
-
-def judged(df: DataFrame) -> DataFrame:
-    """Rows with ``amount_value`` and ``reject_reason``: the verdict stays a column of the
-    row, so accepted and rejected rows of one batch need no join to part ways."""
-    return df.withColumns(
-        {"amount_value": strict_double(F.col("amount")), "reject_reason": reject_reason()}
-    )
+    typed = df.withColumn("amount_value", strict_double(F.col("amount")))
+    return typed.withColumn("reject_reason", F.when(~is_deleted() & bad, reason))
 
 
 def accepted(judged_rows: DataFrame) -> DataFrame:

@@ -100,7 +100,9 @@ def replay_plan(dlq: DataFrame, records: DataFrame) -> DataFrame:
     The frozen payload is not used: replay makes sense once the source was fixed.
     A row deleted since its failure replays as a deletion, not as a document.
     """
-    pending = dlq.where(F.col("status") == PENDING).drop("external_id")
+    pending = dlq.where(F.col("status") == PENDING).select(
+        *KEY, "attempt_count", "first_failed_at", "last_failed_at"
+    )
     keys = pending.select(F.col("source_record_id").alias("id")).distinct()
     current = lookup(keys, records.withColumn("_found", F.lit(True)))
     outcome = (

@@ -149,3 +149,37 @@ def overall_health(components: DataFrame) -> DataFrame:
     return components.agg(ok.alias("ok")).withColumn(
         "overall_health", F.when(F.col("ok"), "healthy").otherwise("degraded")
     )
+
+
+def status_report(
+    records: DataFrame,
+    checkpoints: DataFrame,
+    lag: DataFrame,
+    totals: DataFrame,
+    dead_letters: DataFrame,
+    rates: DataFrame,
+    components: DataFrame,
+) -> DataFrame:
+    """Everything an operator looks at, as one row. Each part is one aggregate."""
+    backfill, incremental = F.col("mode") == "backfill", F.col("mode") == "incremental"
+    source = records.agg(
+        F.count_if(F.col("deleted_at").isNull()).alias("total_records"),
+        F.coalesce(F.max("id"), F.lit(0).cast("long")).alias("max_id"),
+    )
+    runs = checkpoints.agg(
+        F.max(F.when(backfill, F.col("status"))).alias("backfill_status"),
+        F.max(F.when(backfill, F.col("last_id"))).alias("backfill_last_id"),
+        F.max(F.when(backfill, F.col("rows_processed"))).alias("backfill_rows_processed"),
+        F.max(F.when(incremental, F.col("status"))).alias("incremental_status"),
+        F.max(F.when(incremental, F.col("rows_processed"))).alias("incremental_rows_processed"),
+    )
+    now = rates.agg(
+        F.max_by("rows_per_sec", F.when(backfill, F.col("t_ms"))).alias("backfill_rows_per_sec"),
+        F.max_by("rows_per_sec", F.when(incremental, F.col("t_ms"))).alias("incremental_rows_per_sec"),
+    )
+    waiting = dead_letters.agg(F.count_if(F.col("status") == "pending").alias("dlq_pending_count"))
+    health = overall_health(components).select("overall_health")
+    row = one_row(source, runs, lag.withColumnRenamed("lag_seconds", "incremental_lag_seconds"))
+    row = one_row(row, now, totals, waiting, health)
+    progress = progress_pct(F.col("backfill_last_id"), F.col("max_id"))
+    return row.withColumn("backfill_progress_pct", progress)

@@ -63,8 +63,7 @@ def parse_events(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     event = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE"})
     parsed = raw.withColumn("_e", event)
     poison = (
-        F.when(F.col("_e").isNull(), "not an event")
-        .when(F.col("_e._corrupt_record").isNotNull(), "malformed")
+        F.when(F.col("_e").isNull() | F.col("_e._corrupt_record").isNotNull(), "malformed")
         .when(F.col("_e.id").isNull() | F.col("_e.version").isNull(), "missing key")
         .when(F.col("_e.data").isNull(), "missing data")
     )

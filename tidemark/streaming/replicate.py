@@ -28,8 +28,9 @@ def replicate_stream(
 
     def write(rows: DataFrame, number: int) -> None:
         batch_id = number + 1
-        if store.is_committed(st.STREAM, batch_id):
+        progress = store.progress(st.STREAM)
+        if batch_id < progress.next_batch_id:
             return
-        write_batch(store, store.plan(st.STREAM, batch_id), rows, sinks)
+        write_batch(store, store.plan(progress, st.STREAM, batch_id), rows, sinks)
 
     return start(changes.writeStream.foreachBatch(write), checkpoint, every)
