@@ -164,9 +164,20 @@ def test_apply_changes_equals_one_by_one(spark):
                 row["amount"] = amount
     records, log = table(spark, rows), spark.createDataFrame(changes, CHANGE_ROW)
     assert as_dict(mutate.apply_changes(records, log, ["status", "amount"])) == world
+    # The same with every id beyond 5 changes spread over salts.
+    assert as_dict(mutate.apply_changes(records, log, ["status", "amount"], hot_rows=5)) == world
     assert mutate.change_counts(records, log).first().asDict() == counts
 
 
+def test_unseen_counts_a_change_once(spark):
+    shape = "id long, version int, n int"
+    batch = spark.createDataFrame([(1, 1, 5), (1, 1, 4), (2, 1, 6), (2, 2, 7)], shape)
+    earlier = spark.createDataFrame([(2, 1, 1), (2, 1, 2)], shape)
+    got = dedupe.unseen(batch, earlier, ["n"]).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 4), (2, 2, 7)]
+    assert [tuple(r) for r in dedupe.overlap(batch, earlier).collect()] == [(2, 1)]
+
+
 def test_reconcile_classes(spark):
     shape = "id long, version int"
     source = spark.createDataFrame([(1, 1), (2, 2), (3, 1), (4, 1)], shape)
@@ -174,6 +185,8 @@ def test_reconcile_classes(spark):
     got = {r["id"]: r["verdict"] for r in reconcile.reconcile(source, sink).collect()}
     assert got == {1: "equal", 2: "stale", 3: "ahead", 4: "missing", 9: "extra"}
     assert [tuple(r) for r in reconcile.duplicate_ids(sink).collect()] == [(9, 2)]
+    assert [tuple(r) for r in reconcile.missing_in_sink(source, sink).collect()] == [(4, 1)]
+    assert [tuple(r) for r in reconcile.extra_in_sink(source, sink).collect()] == [(9, 1)]
 
 
 def test_progress_and_lag_edges(spark):

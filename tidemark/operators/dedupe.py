@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.state import first_per_key
 from tidemark.sources.numbering import numbered
 
 CHANGE_KEY = ("id", "version")
@@ -23,10 +24,8 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
 def first_deliveries(
     df: DataFrame, order: Sequence[str], key: Sequence[str] = CHANGE_KEY
 ) -> DataFrame:
-    """One row per change, the earliest delivery; reduced before the shuffle."""
-    rest = [c for c in df.columns if c not in key]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*key).agg(first).select(*key, *[F.col("_row")[c].alias(c) for c in rest])
+    """One row per change, the earliest delivery."""
+    return first_per_key(df, key, [F.asc(c) for c in order])
 
 
 def ranked_deliveries(
@@ -40,12 +39,18 @@ def ranked_deliveries(
     return ranked.withColumn("is_duplicate", F.col("delivery_rank") > 1)
 
 
-def unseen(batch: DataFrame, earlier: DataFrame, key: Sequence[str] = CHANGE_KEY) -> DataFrame:
-    """Changes of this batch that no earlier batch delivered."""
-    return batch.join(earlier.select(*key), list(key), "left_anti")
+def unseen(
+    batch: DataFrame, earlier: DataFrame, order: Sequence[str], key: Sequence[str] = CHANGE_KEY
+) -> DataFrame:
+    """First deliveries of this batch that no earlier batch had.
+
+    Both sides are reduced to one row per change before they meet, so a change that was
+    delivered over and over costs one row per task.
+    """
+    once = earlier.select(*key).distinct()
+    return first_deliveries(batch, order, key).join(once, list(key), "left_anti")
 
 
 def overlap(left: DataFrame, right: DataFrame, key: Sequence[str] = CHANGE_KEY) -> DataFrame:
     """Changes both workers delivered, each once."""
-    once = left.select(*key).distinct()
-    return once.join(right.select(*key), list(key), "left_semi")
+    return left.select(*key).distinct().join(right.select(*key).distinct(), list(key), "left_semi")

@@ -5,37 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import skew
+
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
-def effective_changes(records: DataFrame, changes: DataFrame) -> DataFrame:
+def effective_changes(
+    records: DataFrame, changes: DataFrame, hot_rows: int = skew.HOT_ROWS
+) -> DataFrame:
     """The changes that do something when applied one by one in ``seq`` order.
 
     An insert works on an absent id, once; updates and deletes work on a live row, so
     nothing follows the first delete. ``changes`` is
-    ``(id, seq, kind, changed_at, <values>)`` and may name an id any number of times.
-    All steps are aggregates reduced before their shuffle and joins with unique keys.
+    ``(id, seq, kind, changed_at, <values>)``, ``seq`` unique per id; an id may have any
+    number of changes, so those of hot ids are spread over several tasks.
     """
     seq, kind = F.col("seq"), F.col("kind")
-    touched = changes.groupBy("id").agg(F.min(F.when(kind == INSERT, seq)).alias("_born"))
+    born = F.min(F.when(kind == INSERT, seq)).alias("_born")
+    touched = changes.groupBy("id").agg(born, F.count(F.lit(1)).alias("_n"))
+    touched = skew.salts(touched, hot_rows).drop("_n")
     known = records.select("id", F.col("deleted_at").isNull().alias("_live"))
     # Only the ids at hand travel; see lookup() on why the table is cut down first.
     known = known.join(touched.select("id"), "id", "left_semi")
-    base = touched.join(known, "id", "left")
-    on_row = changes.join(base, "id").where(
-        F.when(F.col("_live").isNotNull(), F.col("_live") & (kind != INSERT)).otherwise(
-            F.when(kind == INSERT, seq == F.col("_born")).otherwise(seq > F.col("_born"))
+    base = skew.per_salt(touched.join(known, "id", "left"))
+    on_row = (
+        skew.salt_rows(changes, touched, "id", by="seq")
+        .join(base, ["id", skew.SALT])
+        .where(
+            F.when(F.col("_live").isNotNull(), F.col("_live") & (kind != INSERT)).otherwise(
+                F.when(kind == INSERT, seq == F.col("_born")).otherwise(seq > F.col("_born"))
+            )
         )
     )
-    gone = on_row.where(kind == DELETE).groupBy("id").agg(F.min("seq").alias("_gone"))
+    deletes = on_row.where(kind == DELETE).groupBy("id")
+    gone = deletes.agg(F.min("seq").alias("_gone"), F.max("_salts").alias("_salts"))
     return (
-        on_row.join(gone, "id", "left")
+        on_row.drop("_born", "_live", "_salts")
+        .join(skew.per_salt(gone).drop("_salts"), ["id", skew.SALT], "left")
         .where(F.col("_gone").isNull() | (seq <= F.col("_gone")))
-        .drop("_born", "_live", "_gone")
+        .drop("_gone", skew.SALT)
     )
 
 
-def apply_changes(records: DataFrame, changes: DataFrame, values: list[str]) -> DataFrame:
+def apply_changes(
+    records: DataFrame, changes: DataFrame, values: list[str], hot_rows: int = skew.HOT_ROWS
+) -> DataFrame:
     """The record table after ``changes``.
 
     An insert starts at version 1. Each update adds 1 to the version and sets the
@@ -46,7 +60,7 @@ def apply_changes(records: DataFrame, changes: DataFrame, values: list[str]) ->
     # The last value set per column; NULL means the change leaves the column alone.
     news = [F.max_by(v, F.when(F.col(v).isNotNull(), seq)).alias(f"_{v}") for v in values]
     net = (
-        effective_changes(records, changes)
+        effective_changes(records, changes, hot_rows)
         .groupBy("id")
         .agg(
             F.count(F.lit(1)).cast("int").alias("_steps"),

@@ -32,11 +32,13 @@ def summary(reconciled: DataFrame) -> DataFrame:
 
 
 def missing_in_sink(source: DataFrame, sink: DataFrame) -> DataFrame:
-    return source.join(sink.select("id"), "id", "left_anti")
+    """Source ids, with their version, that the sink lacks."""
+    return _one_per_id(source, "version").join(sink.select("id").distinct(), "id", "left_anti")
 
 
 def extra_in_sink(source: DataFrame, sink: DataFrame) -> DataFrame:
-    return sink.join(source.select("id"), "id", "left_anti")
+    """Sink ids, with their version, that the source lacks: hard deletes show up here."""
+    return missing_in_sink(sink, source)
 
 
 def duplicate_ids(sink: DataFrame) -> DataFrame:

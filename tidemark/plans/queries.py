@@ -350,7 +350,7 @@ def dedupe_new_only(t):
     stop = t.ledger().agg(F.max("last_id")).scalar()
     earlier = feed.where((F.col("worker") == "backfill") & (F.col("id") <= stop))
     batch = feed.where(F.col("worker") == "incremental")
-    return dedupe.unseen(batch, earlier).select("id", "version", "updated_at")
+    return dedupe.unseen(batch, earlier, ["updated_at"]).select("id", "version", "updated_at")
 
 
 @query

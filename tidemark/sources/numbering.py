@@ -44,11 +44,14 @@ def numbered(
     """``df`` with ``out`` = 1, 2, ... per ``keys`` in the order ``order_by``.
 
     ``buckets`` go from coarse to fine and must never decrease along ``order_by``.
-    Key and bucket values must not be NULL.
+    Rows whose key or bucket is NULL have no number and are left out.
     """
     keys = list(keys)
     levels = [f"_b{i}" for i in range(len(buckets))]
     tagged = df.select("*", *[b.alias(name) for b, name in zip(buckets, levels)])
+    # The joins below would add these checks, differently for each level; stated here once,
+    # all levels share one count of the rows.
+    tagged = tagged.dropna(subset=keys + levels)
     counts = tagged.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_n"))
     within = W.partitionBy(*keys, *levels).orderBy(*order_by)
     return (
