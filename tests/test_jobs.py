@@ -232,6 +232,9 @@ def test_reading_a_snapshot_shuffles_only_the_log(spark, work):
     plan = store.state()._jdf.queryExecution().executedPlan().toString()
     top = plan[: plan.index("Union")]
     assert "Exchange" not in top and "Bucketed: true" in plan
+    # Writing the next snapshot needs no further shuffle either.
+    again = store._merged().repartition(4, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in again[: again.index("Union")]
 
 
 def test_half_written_batch_is_invisible(spark, work, monkeypatch):

@@ -3,8 +3,10 @@ import random
 from pyspark.sql import functions as F
 from rows import at, record, table
 
+from tidemark.functions import micros
 from tidemark.operators import change, deadletter, dedupe, mutate, reconcile, report, state
 from tidemark.schemas import DEAD_LETTER
+from tidemark.sources import after_cursor
 
 
 def as_dict(df, key="id"):
@@ -211,3 +213,24 @@ def test_counters_match_single_groupings(spark):
         for r in report.event_counters(df, status=F.col("status"), country=F.col("country")).collect()
     }
     assert got == {("status", "a"): 2, ("status", "unknown"): 1, ("country", "x"): 1, ("country", "unknown"): 2}
+
+
+def test_wrong_rules_would_show(spark):
+    """The fixtures tell right rules from nearby wrong ones."""
+    feed = table(spark, [record(1, 2, 2, deleted=True), record(1, 1, 5), record(2, 1, 1), record(2, 2, 1)])
+    right = state.live_state(feed)
+    by_time = state.live_state(feed, order=("updated_at",))
+    assert [r["id"] for r in right.collect()] == [2]
+    assert sorted(r["id"] for r in by_time.collect()) == [1, 2]
+    # Dropping deleted rows before picking the newest revives row 1.
+    early = state.latest_per_key(change.live_rows(feed))
+    assert sorted(r["id"] for r in early.collect()) == [1, 2]
+    # A cursor without the id skips rows that share its timestamp.
+    ties = table(spark, [record(i, updated=3) for i in range(1, 6)])
+    seen = (micros_of(spark, 3), 2)
+    assert ties.where(after_cursor(ties, ["updated_at"], seen[:1])).count() == 0
+    assert ties.where(after_cursor(ties, ["updated_at", "id"], seen)).count() == 3
+
+
+def micros_of(spark, seconds):
+    return spark.createDataFrame([(at(seconds),)], "t timestamp").select(micros(F.col("t"))).first()[0]

@@ -22,6 +22,8 @@ from tidemark.functions.times import micros
 
 # Re-read at each batch, so that a batch sees the table as it is then.
 Source = Callable[[], DataFrame]
+# The rows of an id range ``(lo, hi]``, for tables that can split a range by themselves.
+RangeSource = Callable[[int, int], DataFrame]
 # A further sink: gets the written rows of a batch and returns once it holds them.
 Sink = Callable[[DataFrame, Batch], None]
 
@@ -29,6 +31,8 @@ SEARCH = "search"
 # Rows per backfill chunk: one job and one commit each. A chunk is spread over all
 # executors, so it is sized to keep a cluster busy for minutes, not to fit a worker.
 CHUNK_ROWS = 50_000_000
+# Chunks listed on the driver at a time.
+CHUNK_LIST = 1_000
 _MAX_LONG = 2**63 - 1
 
 
@@ -117,11 +121,13 @@ def run_backfill(
     chunk_rows: int = CHUNK_ROWS,
     sinks: Sequence[Sink] = (),
     max_chunks: int | None = None,
+    chunk_source: RangeSource | None = None,
 ) -> int:
     """Copy the whole table chunk by chunk; returns the chunks committed by this call.
 
-    Call it again after a crash or a pause, or to pick up rows added since. The list of
-    chunks on the driver has one entry per ``chunk_rows`` rows of the table.
+    Call it again after a crash or a pause, or to pick up rows added since. A relational
+    source should give ``chunk_source`` and partition each chunk's own id range, or only
+    the few partitions of the table that hold the chunk would work.
     """
     done = 0
     while True:
@@ -135,7 +141,7 @@ def run_backfill(
             if done == max_chunks or progress.status == st.PAUSED:
                 return done
             batch = store.plan(progress, st.BACKFILL, **chunk.asDict())
-            rows = source()
+            rows = chunk_source(batch.lo_id, batch.last_id) if chunk_source else source()
             in_chunk = after_cursor(rows, ["id"], [batch.lo_id]) & (F.col("id") <= batch.last_id)
             write_batch(store, batch, rows.where(in_chunk), sinks)
             done += 1
@@ -144,7 +150,8 @@ def run_backfill(
 def _todo(store: Store) -> list:
     ledger = store.ledger().where(F.col("mode") == st.BACKFILL)
     chunks = ledger.where(F.col("kind") == st.CHUNK).select("batch_id", "lo_id", "last_id")
-    return pending_chunks(chunks, ledger.where(F.col("kind") == st.COMMIT)).collect()
+    todo = pending_chunks(chunks, ledger.where(F.col("kind") == st.COMMIT))
+    return todo.limit(CHUNK_LIST).collect()
 
 
 # -- incremental ------------------------------------------------------------------------

@@ -54,14 +54,21 @@ def event_counters(events: DataFrame, **fields: Column) -> DataFrame:
     )
 
 
-def consumer_totals(valid: DataFrame, poison: DataFrame) -> DataFrame:
-    """Unique changes processed, repeated deliveries skipped, poison events."""
-    copies = valid.groupBy("id", "version").agg(F.count(F.lit(1)).alias("_n"))
-    good = copies.agg(
-        F.count(F.lit(1)).alias("processed_total"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates_skipped_total"),
+def consumer_totals(parsed: DataFrame) -> DataFrame:
+    """Unique changes processed, repeated deliveries skipped, poison events.
+
+    One pass over deliveries with ``poison`` set or NULL: they are counted per change,
+    poison as one group, and the counts are added up.
+    """
+    good = F.col("poison").isNull()
+    change = F.when(good, F.struct("id", "version"))
+    copies = parsed.groupBy(change.alias("_change")).agg(F.count(F.lit(1)).alias("_n"))
+    valid, n = F.col("_change").isNotNull(), F.col("_n")
+    return copies.agg(
+        F.count_if(valid).alias("processed_total"),
+        F.coalesce(F.sum(F.when(valid, n - 1)), F.lit(0)).alias("duplicates_skipped_total"),
+        F.coalesce(F.sum(F.when(~valid, n)), F.lit(0)).alias("errors_total"),
     )
-    return one_row(good, poison.agg(F.count(F.lit(1)).alias("errors_total")))
 
 
 def one_row(*parts: DataFrame) -> DataFrame:

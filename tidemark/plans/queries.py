@@ -401,9 +401,7 @@ def poison_events(t):
 
 @query
 def consumer_totals(t):
-    parsed = _parsed(t)
-    bad = F.col("poison").isNotNull()
-    return report.consumer_totals(parsed.where(~bad), parsed.where(bad))
+    return report.consumer_totals(_parsed(t))
 
 
 # -- search -----------------------------------------------------------------------------
@@ -535,13 +533,11 @@ def overall_health(t):
 
 @query
 def status_report(t):
-    parsed = _parsed(t)
-    bad = F.col("poison").isNotNull()
     return report.status_report(
         records=t.rec(),
         checkpoints=st.checkpoints(t.full_ledger()),
         lag=report.lag_seconds(t.rec(), CURSOR, NOW_MICROS),
-        totals=report.consumer_totals(parsed.where(~bad), parsed.where(bad)),
+        totals=report.consumer_totals(_parsed(t)),
         dead_letters=_after_replay(t),
         rates=report.throughput(t.samples()),
         components=_components(t, t.sink_copy()),

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def local_session(cores: int | str = 8, app: str = "tidemark", **conf: str) -> SparkSession:
     """A session for tests and the bench. On a cluster the caller brings the session."""
     builder = (
@@ -26,6 +29,17 @@ def local_session(cores: int | str = 8, app: str = "tidemark", **conf: str) -> S
     return spark
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB: a day of change keys does not fit executor heaps.
+
+    A provider the session already names stays.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Cursors are persisted as microseconds since the epoch, so the zone must not vary."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

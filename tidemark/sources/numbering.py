@@ -51,7 +51,8 @@ def numbered(
     tagged = df.select("*", *[b.alias(name) for b, name in zip(buckets, levels)])
     # The joins below would add these checks, differently for each level; stated here once,
     # all levels share one count of the rows.
-    tagged = tagged.dropna(subset=keys + levels)
+    for name in keys + levels:
+        tagged = tagged.where(F.col(name).isNotNull())
     counts = tagged.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_n"))
     within = W.partitionBy(*keys, *levels).orderBy(*order_by)
     return (

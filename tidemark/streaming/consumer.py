@@ -15,6 +15,7 @@ from tidemark.operators.change import op_kind
 from tidemark.operators.dedupe import CHANGE_KEY
 from tidemark.operators.report import event_counters
 from tidemark.schemas import BATCH_KEYS, CHANGE, EVENT, RECORD
+from tidemark.session import keep_state_on_disk
 
 # Fixed value: how long a change is remembered after its first delivery.
 TTL = "24 hours"
@@ -103,6 +104,7 @@ def count_unique(
         )
         counters.write.mode("overwrite").parquet(f"{out}/counters/batch={number}")
 
+    keep_state_on_disk(events.sparkSession)
     deduped = dedupe_stream(slim, salts=salts)
     return start(deduped.writeStream.foreachBatch(write), checkpoint, every)
 
