@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": work + "/shared",
             "spark.sql.warehouse.dir": work + "/warehouse",
-            "spark.sql.streaming.metricsEnabled": "false",
+            "spark.sql.shuffle.partitions": "3",
         },
     )
     yield session

@@ -438,7 +438,7 @@ SELECT
   (SELECT arg_max(rows_per_sec, t_ms) FROM rates WHERE mode = 'backfill') AS backfill_rows_per_sec,
   (SELECT arg_max(rows_per_sec, t_ms) FROM rates WHERE mode = 'incremental') AS incremental_rows_per_sec,
   processed_total, duplicates_skipped_total, errors_total,
-  (SELECT count(*) FROM after_replay WHERE status = 'pending') AS dlq_pending_count,
+  (SELECT count(*) FROM dlq WHERE status = 'pending') AS dlq_pending_count,
   (SELECT CASE WHEN count(*) = 0 THEN 'healthy' ELSE 'degraded' END
    FROM reconciled WHERE verdict = 'missing') AS overall_health
 FROM (SELECT max(last_id) AS l FROM ledger), (SELECT max(id) AS m FROM rec), totals""",

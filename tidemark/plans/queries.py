@@ -520,7 +520,8 @@ def rate_sliding(t):
 
 def _components(t: Inputs, sink: DataFrame) -> DataFrame:
     lost = reconcile.missing_in_sink(_source(t), sink).agg((F.count(F.lit(1)) == 0).alias("ok"))
-    modes = st.checkpoints(t.full_ledger()).select(F.col("mode").alias("component"), F.lit(True).alias("ok"))
+    # A worker that reports samples is up.
+    modes = t.samples().groupBy(F.col("mode").alias("component")).agg((F.count("n") > 0).alias("ok"))
     return lost.withColumn("component", F.lit("search")).unionByName(modes)
 
 
@@ -538,7 +539,7 @@ def status_report(t):
         checkpoints=st.checkpoints(t.full_ledger()),
         lag=report.lag_seconds(t.rec(), CURSOR, NOW_MICROS),
         totals=report.consumer_totals(_parsed(t)),
-        dead_letters=_after_replay(t),
+        dead_letters=t.dlq(),
         rates=report.throughput(t.samples()),
         components=_components(t, t.sink_copy()),
     )
