@@ -24,51 +24,56 @@ NOW_MICROS = 915_148_800_000_000  # 1999-01-01
 HOUR_MICROS = 3_600_000_000
 
 
+TABLES = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+}
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = pin_utc(spark), sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table, with the columns used here. A stated schema saves the job that
+        would read it off a file."""
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def rec(self) -> DataFrame:
         """One source row per order."""
-        key = F.col("o_orderkey")
-        days = F.make_dt_interval((key % 3).cast("int"))
-        updated = F.col("o_orderdate") + days
         return (
             self.table("orders")
-            .join(self.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
-            .join(self.table("nation"), F.col("n_nationkey") == F.col("c_nationkey"))
-            .join(self.table("region"), F.col("r_regionkey") == F.col("n_regionkey"))
-            .select(
-                (key + 1).alias("id"),
-                F.concat(F.lit("ext-"), (key + 1).cast("string")).alias("external_id"),
-                F.col("c_name").alias("name"),
-                F.lower(F.concat("c_name", F.lit("."), key.cast("string"), F.lit("@example.com"))).alias(
-                    "email"
-                ),
-                F.col("c_mktsegment").alias("company"),
-                F.col("r_name").alias("city"),
-                F.col("n_name").alias("country"),
-                F.when(F.col("o_orderstatus") == "F", "inactive")
-                .when(F.col("o_orderstatus") == "O", "active")
-                .otherwise("pending")
-                .alias("status"),
-                F.concat(
-                    F.lit("{"),
-                    F.lower("c_mktsegment"),
-                    F.lit(","),
-                    F.lower(F.expr("substr(o_orderpriority, 3)")),
-                    F.lit("}"),
-                ).alias("tags_literal"),
-                F.when(key % 97 == 5, "N/A")
-                .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
-                .alias("amount"),
-                (1 + key % 3).cast("int").alias("version"),
-                F.col("o_orderdate").alias("created_at"),
-                updated.alias("updated_at"),
-                F.when(key % 11 == 7, updated).alias("deleted_at"),
+            .join(self.table("customer"), F.expr("c_custkey = o_custkey"))
+            .join(self.table("nation"), F.expr("n_nationkey = c_nationkey"))
+            .join(self.table("region"), F.expr("r_regionkey = n_regionkey"))
+            .selectExpr(
+                "*", "o_orderdate + make_dt_interval(CAST(o_orderkey % 3 AS INT)) AS changed_at"
+            )
+            .selectExpr(
+                "o_orderkey + 1 AS id",
+                "concat('ext-', o_orderkey + 1) AS external_id",
+                "c_name AS name",
+                "lower(concat(c_name, '.', o_orderkey, '@example.com')) AS email",
+                "c_mktsegment AS company",
+                "r_name AS city",
+                "n_name AS country",
+                "CASE o_orderstatus WHEN 'F' THEN 'inactive' WHEN 'O' THEN 'active' "
+                "ELSE 'pending' END AS status",
+                "concat('{', lower(c_mktsegment), ',', lower(substr(o_orderpriority, 3)), '}') "
+                "AS tags_literal",
+                "CASE WHEN o_orderkey % 97 = 5 THEN 'N/A' "
+                "ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) END AS amount",
+                "CAST(1 + o_orderkey % 3 AS INT) AS version",
+                "o_orderdate AS created_at",
+                "changed_at AS updated_at",
+                "CASE WHEN o_orderkey % 11 = 7 THEN changed_at END AS deleted_at",
             )
         )
 
@@ -117,25 +122,26 @@ class Inputs:
 
     def raw_events(self) -> DataFrame:
         """``deliveries`` as JSON texts, some of them broken in different ways."""
-        entity = F.col("id").cast("string")
-        head = F.concat(F.lit('{"id":'), entity, F.lit(',"external_id":"ext-'), entity, F.lit('"'))
-        version = F.concat(F.lit(',"version":'), F.col("version").cast("string"))
-        op = F.concat(F.lit(',"op":"'), F.col("op"), F.lit('"'))
-        country = F.when(F.col("status") == "signup", "").otherwise(
-            F.concat(F.lit("NATION_"), (F.col("id") % 25).cast("string"))
-        )
-        data = F.concat(
-            F.lit(',"data":{"status":"'), F.col("status"), F.lit('","country":"'), country, F.lit('"}')
+        parts = self.deliveries().selectExpr(
+            "event_id",
+            "delivery",
+            "value AS v",
+            """concat('{"id":', id, ',"external_id":"ext-', id, '"') AS head""",
+            """concat(',"version":', version) AS ver""",
+            """concat(',"op":"', op, '"') AS oper""",
+            """concat(',"data":{"status":"', status, '","country":"',
+                      CASE WHEN status = 'signup' THEN '' ELSE concat('NATION_', id % 25) END,
+                      '"}') AS body""",
         )
-        v, whole = F.col("value"), F.concat(head, version, op, data, F.lit("}"))
-        value = (
-            F.when(v < 2, F.concat(head, version, op, F.lit(',"data":{"sta')))
-            .when(v < 3, F.lit("null"))
-            .when(v < 4, F.concat(head, op, data, F.lit("}")))
-            .when(v < 5, F.concat(head, version, op, F.lit("}")))
-            .otherwise(whole)
+        return parts.selectExpr(
+            "event_id",
+            "delivery",
+            """CASE WHEN v < 2 THEN concat(head, ver, oper, ',"data":{"sta')
+                    WHEN v < 3 THEN 'null'
+                    WHEN v < 4 THEN concat(head, oper, body, '}')
+                    WHEN v < 5 THEN concat(head, ver, oper, '}')
+                    ELSE concat(head, ver, oper, body, '}') END AS value""",
         )
-        return self.deliveries().select("event_id", "delivery", value.alias("value"))
 
     def plan(self) -> DataFrame:
         return page_plan(self.rec(), PAGE_ROWS)

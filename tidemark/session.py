@@ -21,6 +21,8 @@ def local_session(cores: int | str = 8, app: str = "tidemark", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording the Python call site of every column makes plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
