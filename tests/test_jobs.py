@@ -293,3 +293,26 @@ def test_shuffled_rebatched_feeds_converge(spark, work):
             progress = store.progress(st.STREAM)
             replicate.write_batch(store, store.plan(progress, st.STREAM, number), table(spark, part))
         assert documents(store) == want
+
+
+def test_a_run_that_comes_back_is_not_read_twice(spark, work):
+    store, source = fresh(spark, work), Table(spark, ROWS)
+    zombie = store.plan(store.progress(st.STREAM), st.STREAM, 1)
+    batch = store.plan(store.progress(st.STREAM), st.STREAM, 1)
+    assert (zombie.attempt, batch.attempt, zombie.at_micros) == (1, 2, batch.at_micros)
+    replicate.write_batch(store, batch, source())
+    replicate.write_batch(store, zombie, source())
+    assert store.events().count() == 40
+    assert letters(store) == [(i, 1, "pending") for i in (3, 13, 23, 33)]
+
+
+def test_chunks_can_come_from_a_ranged_source(spark, work):
+    store, asked = fresh(spark, work), []
+
+    def ranged(lo, hi):
+        asked.append((lo, hi))
+        return table(spark, ROWS)
+
+    replicate.run_backfill(store, Table(spark, ROWS), 15, chunk_source=ranged)
+    assert asked == [(0, 15), (15, 30), (30, 40)]
+    assert documents(store) == expected(ROWS)

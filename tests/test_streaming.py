@@ -24,8 +24,8 @@ def append(spark, path, lines):
 def consume(spark, raw, out, **options):
     parsed = consumer.parse_events(consumer.raw_event_stream(spark, raw, 2))
     valid = parsed.where(F.col("poison").isNull())
-    unique = consumer.count_unique(valid, out, out + "/cp-unique", **options)
-    intake = consumer.set_poison_aside(parsed, out, out + "/cp-intake")
+    unique = consumer.count_unique(valid, out, **options)
+    intake = consumer.set_poison_aside(parsed, out)
     for run in (unique, intake):
         run.awaitTermination()
     late = [
@@ -104,6 +104,16 @@ def test_stream_crash_between_sinks(spark, work, monkeypatch, method):
     assert store.events().count() == 40
 
 
+def test_a_new_checkpoint_skips_nothing(spark, work):
+    store = Store.create(spark, work + "/s")
+    changes = write_changes(spark, work, ROWS[:20])
+    replicate_stream(changes, store, work + "/cp1").awaitTermination()
+    changes = write_changes(spark, work, ROWS[20:])
+    replicate_stream(changes, store, work + "/cp2").awaitTermination()
+    assert documents(store) == expected(ROWS)
+    assert len(unique_events(store)) == 40
+
+
 def test_change_log_feeds_the_consumer(spark, work, monkeypatch):
     """An abandoned attempt is delivered again; the consumer counts it once."""
     store, out = Store.create(spark, work + "/s"), work + "/out"
@@ -116,7 +126,7 @@ def test_change_log_feeds_the_consumer(spark, work, monkeypatch):
     fixed = [record(3, amount="1.00")] + [r for r in ROWS if r[0] != 3]
     assert replicate.run_replay(store, lambda: table(spark, fixed)) == 1
     events = consumer.change_log_stream(spark, store.root)
-    run = consumer.count_unique(events, out, out + "/cp")
+    run = consumer.count_unique(events, out)
     run.awaitTermination()
     # Two attempts of the backfill and the incremental run; the replay publishes nothing.
     assert sum(p["numInputRows"] for p in run.recentProgress) >= 120

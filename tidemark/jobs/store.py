@@ -239,7 +239,9 @@ class Store:
             for mode, batch_id in covered.items()
         ]
         wanted = rows.where(reduce(and_, fresh, F.lit(True)))
-        return wanted.join(commits.select(*KEYS), KEYS, "left_semi")
+        # One attempt per batch, even if a run thought dead came back and committed too.
+        attempts = commits.groupBy("mode", "batch_id").agg(F.min("attempt").alias("attempt"))
+        return wanted.join(attempts, KEYS, "left_semi")
 
     def changes(self, covered: dict[str, int] | None = None) -> DataFrame:
         return self._committed("changes", CHANGE, covered or {})
@@ -275,7 +277,8 @@ class Store:
             fields = T.StructType([CHANGE[c] for c in STATE_COLUMNS]).toDDL()
             self.spark.sql(
                 f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (id) SORTED BY (id) "
-                f"INTO {n_buckets} BUCKETS LOCATION '{path}'"
+                f"INTO {n_buckets} BUCKETS LOCATION :path",
+                args={"path": path},
             )
         return self.spark.table(name)
 
@@ -304,6 +307,8 @@ class Store:
 
         Tombstones stay: without them an old version delivered late would revive its row.
         """
+        # Listed before the log is read: what is committed in between is merged now and
+        # again next time, never skipped.
         latest = self.commits().groupBy("mode").agg(F.max("batch_id").alias("batch_id")).collect()
         path = f"{self.root}/snapshots/{uuid.uuid4().hex}"
         state = self._merged().select(*STATE_COLUMNS).repartition(n_buckets, "id")
@@ -314,15 +319,5 @@ class Store:
             .option("path", path)
             .saveAsTable(self._table_name(path))
         )
-        at = now_micros()
-        self.append_ledger(
-            *[{
-                "mode": r["mode"],
-                "kind": SNAPSHOT,
-                "batch_id": r["batch_id"],
-                "path": path,
-                "n_buckets": n_buckets,
-                "at_micros": at,
-            }
-            for r in latest]
-        )
+        common = {"kind": SNAPSHOT, "path": path, "n_buckets": n_buckets, "at_micros": now_micros()}
+        self.append_ledger(*[{**common, **r.asDict()} for r in latest])

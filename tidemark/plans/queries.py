@@ -682,8 +682,8 @@ def _consumed(t: Inputs) -> str:
     parsed = consumer.parse_events(consumer.raw_event_stream(t.spark, raw, 64), RAW_EVENT)
     valid = parsed.where(F.col("poison").isNull())
     runs = [
-        consumer.count_unique(valid, out, f"{out}/checkpoint-unique"),
-        consumer.set_poison_aside(parsed, out, f"{out}/checkpoint-intake"),
+        consumer.count_unique(valid, out),
+        consumer.set_poison_aside(parsed, out),
     ]
     for run in runs:
         run.awaitTermination()

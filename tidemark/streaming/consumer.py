@@ -1,7 +1,8 @@
 """The event consumer: parse, set poison aside, drop repeated deliveries, count.
 
 Counters are kept as one small delta per micro-batch, written under the batch number, so
-a batch that runs twice leaves one delta.
+a batch that runs twice leaves one delta. Batch numbers and remembered changes live in the
+checkpoint, which is therefore kept in the output folder: they stay or go together.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def dedupe_stream(events: DataFrame, ttl: str = TTL, salts: int = SALTS) -> Data
 
 
 def count_unique(
-    events: DataFrame, out: str, checkpoint: str, every: str | None = None, salts: int = SALTS
+    events: DataFrame, out: str, every: str | None = None, salts: int = SALTS
 ) -> StreamingQuery:
     """Counters over unique changes: total, by status, by country, by op."""
     slim = events.select(
@@ -106,12 +107,10 @@ def count_unique(
 
     keep_state_on_disk(events.sparkSession)
     deduped = dedupe_stream(slim, salts=salts)
-    return start(deduped.writeStream.foreachBatch(write), checkpoint, every)
+    return start(deduped.writeStream.foreachBatch(write), f"{out}/checkpoints/unique", every)
 
 
-def set_poison_aside(
-    parsed: DataFrame, out: str, checkpoint: str, every: str | None = None
-) -> StreamingQuery:
+def set_poison_aside(parsed: DataFrame, out: str, every: str | None = None) -> StreamingQuery:
     """Poison events to a table of their own, and how many deliveries came in.
 
     One pass: the counts are observed while the poison rows are written.
@@ -126,7 +125,7 @@ def set_poison_aside(
         counts = batch.sparkSession.createDataFrame([(seen.get["valid"], seen.get["poison"])], INTAKE)
         counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/intake/batch={number}")
 
-    return start(parsed.writeStream.foreachBatch(write), checkpoint, every)
+    return start(parsed.writeStream.foreachBatch(write), f"{out}/checkpoints/intake", every)
 
 
 def counters(spark: SparkSession, out: str) -> DataFrame:

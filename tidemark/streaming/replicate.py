@@ -13,6 +13,10 @@ from tidemark.jobs.store import Store
 from tidemark.streaming.consumer import start
 
 
+# Where Spark tells a micro-batch which query it belongs to.
+QUERY_ID = "sql.streaming.queryId"
+
+
 def replicate_stream(
     changes: DataFrame,
     store: Store,
@@ -23,14 +27,17 @@ def replicate_stream(
     """Each micro-batch is one batch of the store; the stream commits after the ledger.
 
     A micro-batch that failed comes again under the same number and is written as a new
-    attempt; one that reached the ledger before the crash is left alone.
+    attempt; one that reached the ledger before the crash is left alone. Numbers belong
+    to a checkpoint, so the mode carries the id Spark keeps there: a stream started over
+    with a new checkpoint delivers its rows again and skips nothing.
     """
 
     def write(rows: DataFrame, number: int) -> None:
         batch_id = number + 1
-        progress = store.progress(st.STREAM)
+        mode = f"{st.STREAM}-{rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)}"
+        progress = store.progress(mode)
         if batch_id < progress.next_batch_id:
             return
-        write_batch(store, store.plan(progress, st.STREAM, batch_id), rows, sinks)
+        write_batch(store, store.plan(progress, mode, batch_id), rows, sinks)
 
     return start(changes.writeStream.foreachBatch(write), checkpoint, every)
