@@ -36,11 +36,15 @@ CHUNK_LIST = 1_000
 _MAX_LONG = 2**63 - 1
 
 
-def write_batch(store: Store, batch: Batch, rows: DataFrame, sinks: Sequence[Sink] = ()) -> None:
+def write_batch(
+    store: Store, batch: Batch, rows: DataFrame, sinks: Sequence[Sink] = (), scattered: bool = False
+) -> None:
     """Judge, write and commit one batch: changes, dead letters, further sinks, ledger.
 
     A rejected row goes to the dead letters and is published as an event all the same;
     the rest of the batch is not held up. Without rejects no dead-letter file is written.
+    ``scattered`` rows, a few from each task of a large scan, are brought together first,
+    so that the log does not get a tiny file per task.
     """
     at = F.timestamp_micros(F.lit(batch.at_micros))
     changes = judged(rows).withColumns(
@@ -50,13 +54,13 @@ def write_batch(store: Store, batch: Batch, rows: DataFrame, sinks: Sequence[Sin
             "batch_seq": F.lit(batch.at_micros).cast("long"),
         }
     )
-    written = store.write_changes(batch, changes)
+    written = store.write_changes(batch, changes.hint("rebalance") if scattered else changes)
     stats = _stats(written)
     if stats["n_rejected"]:
         bad = deadletter.failure_rows(
             rejected(written), SEARCH, F.col("emitted_at"), F.col("batch_seq"), RECORD.names
         )
-        store.write_dead_letters(batch, bad)
+        store.write_dead_letters(batch, bad.hint("rebalance"))
     for sink in sinks:
         sink(written, batch)
     store.commit(batch, stats)
@@ -201,7 +205,9 @@ def run_incremental(
         bounds = {"lo_micros": lo[0], "lo_id": lo[1], "hi_micros": hi[0], "hi_id": hi[1]}
         batch = store.plan(progress, st.INCREMENTAL, progress.next_batch_id, **bounds)
     lo, hi = (batch.lo_micros, batch.lo_id), (batch.hi_micros, batch.hi_id)
-    write_batch(store, batch, bounded_range(source(), lo, hi, lookback_micros), sinks)
+    rows = bounded_range(source(), lo, hi, lookback_micros)
+    # The first batch starts at the epoch and may be the whole table; later ones are deltas.
+    write_batch(store, batch, rows, sinks, scattered=lo[0] is not None)
     return True
 
 

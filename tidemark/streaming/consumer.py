@@ -103,7 +103,7 @@ def count_unique(
             country=F.col("country"),
             op=F.col("op"),
         )
-        counters.write.mode("overwrite").parquet(f"{out}/counters/batch={number}")
+        counters.repartition(1).write.mode("overwrite").parquet(f"{out}/counters/batch={number}")
 
     keep_state_on_disk(events.sparkSession)
     deduped = dedupe_stream(slim, salts=salts)
