@@ -1,6 +1,8 @@
 """Input tables of the registered queries, derived from the given parquet tables.
 
-Each has a twin of the same name in ``oracles.py``. Timestamps stay without a zone.
+Each has a twin of the same name in ``oracles.py``. Timestamps stay without a zone. All
+run over whole tables; a modulo below only decides how a row looks (bad, deleted, delivered
+twice, damaged in the copy), as the given tables hold no such rows.
 """
 
 from __future__ import annotations

@@ -196,7 +196,8 @@ UNION ALL
 SELECT c_custkey + 100000000, step, kind, TIMESTAMP '1999-01-01' + step * INTERVAL '1' HOUR, 'active',
   CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)
 FROM customer
-CROSS JOIN (SELECT 0 AS step, 'update' AS kind UNION ALL SELECT 1, 'insert' UNION ALL SELECT 2, 'update') s""",
+CROSS JOIN (SELECT 0 AS step, 'update' AS kind
+            UNION ALL SELECT 1, 'insert' UNION ALL SELECT 2, 'update') s""",
     "effective": """
 SELECT c.* FROM (
   SELECT h.*, min(CASE WHEN kind = 'delete' THEN seq END) OVER (PARTITION BY id) AS gone
@@ -479,7 +480,8 @@ SELECT source_record_id, sink, external_id, error, attempt_count, status FROM dl
 SELECT 'total' AS dimension, 'processed' AS key, count(*) AS n FROM unique_valid
 UNION ALL SELECT 'status', status, count(*) FROM unique_valid GROUP BY status
 UNION ALL SELECT 'op', op, count(*) FROM unique_valid GROUP BY op
-UNION ALL SELECT 'country', coalesce(nullif(country, ''), 'unknown'), count(*) FROM unique_valid GROUP BY 2""",
+UNION ALL SELECT 'country', coalesce(nullif(country, ''), 'unknown'), count(*)
+FROM unique_valid GROUP BY 2""",
     "consume_stream_totals": "SELECT * FROM totals",
 }
 
