@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_shards, es_mix, prefix_targets, url_trust
-from tidemark.llm.common import load
+from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, prefix_targets, quality_gam, url_trust
+from tidemark.llm.common import load, remainder
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+PATTERN = public_tokenizers.PATTERN
+KEEP_SCORE = 0.3
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +38,23 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_gam.Model:
+    """Fitted on the labelled rows that are not held out."""
+    known = labels.select("doc_id", F.col("quality").alias("label")).where(remainder("doc_id", 5) != 0)
+    return quality_gam.train(docs, known)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, load(spark, sf_dir, "labels"))
+    return quality_gam.scored(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_shards.shards(docs, 8).select(
@@ -39,6 +62,26 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return fertility.measured(docs, RANKS, PATTERN, PIECES).select("doc_id", "fertility.*")
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_digests(bpe_chunks.encode(docs, RANKS, PATTERN))
+
+
+def bpe_digests(encoded: DataFrame) -> DataFrame:
+    """What a check of ids and decoded bytes needs."""
+    return bpe_chunks.decode(encoded, RANKS).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return es_mix.mixed(docs, es_mix.quality_weight()).select(
@@ -51,4 +94,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_chat_formatting, op5_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filters, op2_chat_formatting, op3_quality_classifier, op5_sharding, op7_quality_rules, op9_byte_bpe, op10_mixing,
+)}
