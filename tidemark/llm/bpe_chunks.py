@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, text_of
+from tidemark.llm.common import python_workers, text_of
 
 CHUNK = 1 << 14
 #: How far before the next chunk a chunk's own scan is taken up again.
@@ -117,7 +117,7 @@ def _ids_array(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, ids`` of every row of ``docs``."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     text = docs.select("doc_id", text_of().alias("text"))
     long = F.length("text") > chunk
 

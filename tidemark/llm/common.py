@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +41,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what a Python worker is handed at once: ``rows`` rows, 64 MB. A setting the user changed stays."""
+def python_workers(spark: SparkSession, rows: int = 1000) -> None:
+    """Let workers import this package, and hand them at most ``rows`` rows or 64 MB at once.
+
+    Settings the user changed stay.
+    """
     for key, default, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000, str(rows)),
         ("spark.sql.execution.arrow.maxBytesPerBatch", 2**31 - 1, str(2**26)),
     ):
         if int(spark.conf.get(key).rstrip("b")) == default:
             spark.conf.set(key, value)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))

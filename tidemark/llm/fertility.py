@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import python_workers
 
 WINDOW, MIN_WORDS, MAX_REPEATED = 5, 10, 0.20
 ENTROPY_BITS = 6.0
@@ -229,7 +229,7 @@ def within_bands(m: Column) -> Column:
 
 def measured(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str) -> DataFrame:
     """``docs`` with a struct ``fertility``: the measures, ``base_failed`` and ``kept``."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     measure = measures(ranks_path, pattern, pieces_path)
     found = docs.select(*docs.columns, measure(F.col("text").cast("binary")).alias("fertility_measures"))
     m = F.col("fertility_measures")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import python_workers
 
 SAMPLE = 16_384
 BINS, PAIR_BINS, PAIRS = 32, 8, 6
@@ -191,7 +191,7 @@ def feature_rows():
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits ``labels`` (doc_id, label) on the texts of ``docs``."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     chosen = (
         labels.select("doc_id", F.col("label").cast("double").alias("label"))
         .where("label IS NOT NULL AND doc_id IS NOT NULL")
@@ -222,5 +222,5 @@ def scorer(model: Model):
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every row of ``docs``."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     return docs.select("doc_id", scorer(model)(F.col("text").cast("binary")).alias("score"))

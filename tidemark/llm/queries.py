@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, prefix_targets, quality_gam, url_trust
+from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, kneser_ney, prefix_targets, quality_gam, simhash_trie, url_trust
 from tidemark.llm.common import load, remainder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -55,6 +55,13 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_trie.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_shards.shards(docs, 8).select(
@@ -62,6 +69,20 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs, remainder("doc_id", 7) != 2)
+    return kneser_ney.scored(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return fertility.measured(docs, RANKS, PATTERN, PIECES).select("doc_id", "fertility.*")
@@ -95,5 +116,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_chat_formatting, op3_quality_classifier, op5_sharding, op7_quality_rules, op9_byte_bpe, op10_mixing,
+    op1_url_filters, op2_chat_formatting, op3_quality_classifier, op4_simhash, op5_sharding, op6_lm_scoring, op7_quality_rules, op9_byte_bpe, op10_mixing,
 )}
