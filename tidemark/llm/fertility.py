@@ -227,6 +227,10 @@ def within_bands(m: Column) -> Column:
     return ok
 
 
+def kept(m: Column) -> Column:
+    return ~base_failed(m) & F.coalesce(within_bands(m), F.lit(False))
+
+
 def measured(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str) -> DataFrame:
     """``docs`` with a struct ``fertility``: the measures, ``base_failed`` and ``kept``."""
     python_workers(docs.sparkSession)
@@ -236,6 +240,6 @@ def measured(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str) -
     verdict = F.struct(
         *[m[f.name].alias(f.name) for f in MEASURES],
         base_failed(m).alias("base_failed"),
-        (~base_failed(m) & within_bands(m)).alias("kept"),
+        kept(m).alias("kept"),
     )
     return found.select(*docs.columns, verdict.alias("fertility"))

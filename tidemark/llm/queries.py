@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, kneser_ney, prefix_targets, quality_gam, simhash_trie, url_trust
+from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, kneser_ney, multi_index, prefix_targets, quality_gam, simhash_trie, url_trust
 from tidemark.llm.common import load, remainder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -88,15 +88,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measured(docs, RANKS, PATTERN, PIECES).select("doc_id", "fertility.*")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.neighbours(rows, F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_digests(bpe_chunks.encode(docs, RANKS, PATTERN))
 
 
-def bpe_digests(encoded: DataFrame) -> DataFrame:
+def bpe_digests(encoded: DataFrame, *more: str) -> DataFrame:
     """What a check of ids and decoded bytes needs."""
     return bpe_chunks.decode(encoded, RANKS).select(
         "doc_id",
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
@@ -116,5 +122,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_chat_formatting, op3_quality_classifier, op4_simhash, op5_sharding, op6_lm_scoring, op7_quality_rules, op9_byte_bpe, op10_mixing,
+    op1_url_filters, op2_chat_formatting, op3_quality_classifier, op4_simhash, op5_sharding, op6_lm_scoring, op7_quality_rules, op8_nearest, op9_byte_bpe, op10_mixing,
 )}
