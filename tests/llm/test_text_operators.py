@@ -1,0 +1,391 @@
+"""Operators on documents against brute force, on odd rows and generated ones."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import corpus
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, kneser_ney, quality_gam, simhash_trie
+from tidemark.llm.queries import PATTERN, PIECES, QUERIES, RANKS
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("odd"))
+    corpus.documents(spark).repartition(5).write.parquet(path + "/docs")
+    return spark.read.parquet(path + "/docs")
+
+
+@pytest.fixture(scope="module")
+def nothing(odd):
+    return odd.limit(0)
+
+
+def test_empty_tables(nothing):
+    model = quality_gam.train(nothing, nothing.select("doc_id", F.lit(1).alias("label")))
+    assert quality_gam.scored(nothing, model).count() == 0
+    assert simhash_trie.near_duplicates(nothing).count() == 0
+    assert simhash_trie.distinct_documents(nothing).count() == 0
+    assert byte_shards.shards(nothing, 8).count() == 0
+    assert kneser_ney.scored(nothing, kneser_ney.train(nothing)).count() == 0
+    assert fertility.measured(nothing, RANKS, PATTERN, PIECES).count() == 0
+    assert bpe_chunks.encode(nothing, RANKS, PATTERN).count() == 0
+    assert es_mix.mixed(nothing, F.lit(1.0)).count() == 0
+
+
+# Quality classifier ----------------------------------------------------------------------
+
+
+def test_classifier_learns_held_out_rows(spark):
+    got = {r.doc_id: r for r in QUERIES["op3_quality_classifier"](spark, "/root/testdata/sf0.01").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    held = [(got[r.doc_id].predicted, r.quality) for r in labels if got[r.doc_id].held_out]
+    assert len(held) > 40 and sum(a == b for a, b in held) / len(held) >= 0.95
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 for i, r in got.items())
+
+
+def test_classifier_odd_rows(odd):
+    one_kind = odd.where("doc_id < 30").select("doc_id", F.lit(1).alias("label"))
+    scores = [r.score for r in quality_gam.scored(odd, quality_gam.train(odd, one_kind)).collect()]
+    assert len(scores) == odd.count() and len(set(scores)) == 1 and 0.9 < scores[0] < 1
+    none = quality_gam.train(odd, odd.select("doc_id", F.lit(None).cast("int").alias("label")))
+    assert {r.score for r in quality_gam.scored(odd, none).collect()} == {0.5}
+
+
+def test_lookup_tables_fit_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.random((4000, len(quality_gam.FEATURES)))
+    y = ((x[:, 2] > 0.5) ^ (x[:, 5] > 0.5)).astype(float)  # no single feature tells anything
+    model = quality_gam.fit(x[:3000], y[:3000])
+    assert model.pairs[0] == (2, 5)
+    assert ((model.scores(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
+
+
+# SimHash ---------------------------------------------------------------------------------
+
+
+def fingerprint(text, k=4):
+    words = WORD.findall(lower(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(prints, distance):
+    """Smallest id by row, from (id, fingerprint) rows, by comparing all."""
+    values = sorted({f for _, f in prints})
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= distance:
+                root[find(b)] = find(a)
+    smallest = defaultdict(list)
+    for i, f in prints:
+        smallest[find(f)].append(i)
+    least = {k: min((i for i in v if i is not None), default=None) for k, v in smallest.items()}
+    return [(i, f, least[find(f)]) for i, f in prints]
+
+
+@pytest.mark.parametrize("unit", [16_384, 2])
+def test_near_duplicates_by_brute_force(odd, unit):
+    rows = simhash_trie.near_duplicates(odd, unit=unit).collect()
+    got = sorted(((r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in rows), key=str)
+    want = classes([(i, fingerprint(t)) for i, t, _ in corpus.odd_rows()], 4)
+    assert got == sorted(want, key=str)
+
+
+def test_distinct_documents_keep_one_of_each_group(odd):
+    kept = simhash_trie.distinct_documents(odd)
+    assert kept.columns == odd.columns
+    groups = {f: c for _, f, c in classes([(i, fingerprint(t)) for i, t, _ in corpus.odd_rows()], 4)}
+    ids = sorted((r.doc_id for r in kept.collect()), key=str)
+    # Groups without any id keep one row without id.
+    assert [i for i in ids if i is not None] == sorted({c for c in groups.values() if c is not None}, key=str)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 4, 7])
+def test_trie_finds_all_close_pairs(distance):
+    rng = np.random.default_rng(distance)
+    values = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    for i in range(250):
+        for bit in rng.integers(0, 64, rng.integers(1, 9)):
+            values[i] = values[i + 250] ^ (np.uint64(1) << np.uint64(bit))
+    values = np.unique(values)
+    n = np.array([len(values)])
+    zero = np.array([0])
+    found = [p for i, j in simhash_trie.close_pairs(values, zero, n, zero, n, 0, distance) for p in zip(i.tolist(), j.tolist())]
+    apart = np.bitwise_count(values[:, None] ^ values[None, :])
+    want = {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.where(apart <= distance))) if i < j}
+    assert len(found) == len(want) and set(found) == want
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 900), (900, 1000)], "a long, b long")
+    assert {r.node: r.root for r in simhash_trie.components(edges).collect()} == {i: 0 for i in range(201)} | {900: 900, 1000: 900}
+
+
+# Shards ----------------------------------------------------------------------------------
+
+
+def check_shards(rows, docs, n, slack=byte_shards.SLACK):
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs
+    )
+    sizes, slots = Counter(), defaultdict(list)
+    for r in rows:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    share, largest = sum(sizes.values()) / n, max(r.size for r in rows)
+    assert all(0 <= s < n for s in sizes) and all(abs(sizes[s] - share) <= largest + 2 * slack * share for s in range(n))
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_shards_of_odd_rows(odd):
+    rows = byte_shards.shards(odd, 8).collect()
+    check_shards(rows, [(i, t) for i, t, _ in corpus.odd_rows()], 8)
+
+
+def test_a_hot_text_is_cut_and_small_groups_are_not(spark):
+    docs = [(i, "hot text") for i in range(3000)] + [(10_000 + i, f"document {i // 2} of its own") for i in range(6000)]
+    rows = byte_shards.shards(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), 8).collect()
+    check_shards(rows, docs, 8)
+    of = defaultdict(set)
+    for r in rows:
+        of[r.text_crc32].add(r.shard)
+    assert len(of[zlib.crc32(b"hot text")]) > 1
+    assert all(len(s) == 1 for t, s in of.items() if t != zlib.crc32(b"hot text"))
+
+
+# Language model --------------------------------------------------------------------------
+
+
+def tokens(text):
+    return WORD.findall(lower(text)) + ["</s>"]
+
+
+def kneser_ney_scores(train, texts):
+    """The textbook bigram model, by dictionaries."""
+    pairs, words = Counter(), Counter()
+    for t in train:
+        sequence = ["<s>"] + tokens(t)
+        words.update(sequence[1:])
+        pairs.update(zip(sequence, sequence[1:]))
+    before, total = Counter(w for _, w in pairs), Counter()
+    follow = defaultdict(Counter)
+    for (v, _), c in pairs.items():
+        total[v] += c
+        follow[v][min(c, 3)] += 1
+    levels = lambda counts: [sum(c == k for c in counts) for k in (1, 2, 3, 4)]
+    d = dict(enumerate(kneser_ney.discounts(levels(pairs.values())), 1))
+    e = dict(enumerate(kneser_ney.discounts(levels(before.values())), 1))
+    n, spread = len(words), 1.0
+    if pairs:
+        spread = sum(e[min(c, 3)] for c in before.values()) / len(pairs)
+
+    def unigram(w):
+        p = spread / (n + 1)
+        return p + (before[w] - e[min(before[w], 3)]) / len(pairs) if w in before else p
+
+    def bigram(v, w):
+        if v not in total:
+            return unigram(w)
+        c = pairs.get((v, w), 0)
+        left = sum(d[k] * m for k, m in follow[v].items()) / total[v]
+        return (max(c - d[min(c, 3)], 0) / total[v] if c else 0.0) + left * unigram(w)
+
+    out = []
+    for t in texts:
+        sequence = ["<s>"] + tokens(t)
+        out.append(
+            (
+                len(sequence) - 1,
+                sum(w in words for w in sequence[1:]),
+                sum(math.log10((words[w] + 1) / (sum(words.values()) + n + 1)) for w in sequence[1:]),
+                sum(math.log10(bigram(v, w)) for v, w in zip(sequence, sequence[1:])),
+            )
+        )
+    vocabulary = [*words, "<unknown>"]
+    sums = [sum(bigram(v, w) for w in vocabulary) for v in ["<s>", *list(words)[:30], "<unknown>"]]
+    assert all(abs(s - 1) < 1e-9 for s in sums)
+    return out
+
+
+@pytest.mark.parametrize("part_bytes", [kneser_ney.PART_BYTES, 2000])
+def test_language_model_by_brute_force(spark, odd, monkeypatch, part_bytes):
+    monkeypatch.setattr(kneser_ney, "PART_BYTES", part_bytes)
+    rng = np.random.default_rng(1)
+    extra = [(500 + i, " ".join(rng.choice(list("abcdefgh") + ["The", "the"], 12)), "x") for i in range(80)]
+    rows = corpus.odd_rows() + extra
+    docs = corpus.documents(spark, rows).repartition(4)
+    trained = lambda i: i is not None and i % 3 != 0
+    model = kneser_ney.train(docs, F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False)))
+    got = corpus.pairs(kneser_ney.scored(docs, model), "doc_id", "n_tokens", "n_known", "base_score", "score")
+    scores = kneser_ney_scores([t for i, t, _ in rows if trained(i)], [t for _, t, _ in rows])
+    want = sorted([(i, *s) for (i, _, _), s in zip(rows, scores)], key=lambda t: tuple((x is None, str(x)) for x in t))
+    by = lambda r: (r[0] is None, str(r[0]), r[1], r[2], round(r[3], 3), round(r[4], 3))
+    for g, w in zip(sorted(got, key=by), sorted(want, key=by), strict=True):
+        assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], rel=1e-9) and g[4] == pytest.approx(w[4], rel=1e-5)
+
+
+def test_language_model_without_training_rows(odd):
+    model = kneser_ney.train(odd, F.lit(False))
+    assert {(r.n_known, r.base_score, r.score) for r in kneser_ney.scored(odd, model).collect()} == {(0, 0.0, 0.0)}
+
+
+def test_language_model_helps_on_held_out_rows(spark):
+    rows = [r for r in QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+# Fertility -------------------------------------------------------------------------------
+
+
+def base_counts(text):
+    words = WORD.findall(text or "")
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered), failed
+
+
+def test_fertility_counts_by_brute_force(spark):
+    junk = [(900, "a b c d e f\na b c d e f\n\n \n#*$%&|<> x", "z"), (901, "q " * 12, "z"), (902, "l1 l2 l3\n" * 4 + " ".join(map(str, range(40))), "z")]
+    rows = corpus.odd_rows() + junk
+    got = fertility.measured(corpus.documents(spark, rows), RANKS, PATTERN, PIECES)
+    assert got.columns[:-1] == corpus.documents(spark, []).columns
+    got = corpus.pairs(got.select("doc_id", "fertility.*"), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    want = [(i, *base_counts(t)) for i, t, _ in rows]
+    assert got == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_fertility_measures_by_plain_encoding():
+    import sentencepiece
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    bpe = tiktoken.Encoding("b", pat_str=PATTERN, mergeable_ranks=bpe_chunks.read_ranks(RANKS), special_tokens={})
+    words = fertility.Words(RANKS, PATTERN, PIECES)
+    for text in ("plain words of prose and more of it", "слово за слово и ещё", "漢字 かな 𓀀𓀀 x", "it's 12,000 'tis  odd"):
+        for got in words.measures([text.encode(), text.encode()]):  # new words, then known ones
+            split = WORD.findall(text)
+            ids = [i for w in split for i in pieces.encode(w)]
+            p = np.array(list(Counter(ids).values())) / len(ids)
+            assert got["chars_per_token"] == pytest.approx(sum(map(len, split)) / sum(len(bpe.encode_ordinary(" " + w)) for w in split))
+            assert got["byte_share"] == pytest.approx(sum(map(pieces.is_byte, ids)) / len(ids))
+            assert got["entropy"] == pytest.approx(max(0, -(p * np.log2(p)).sum()) / min(np.log2(len(ids)), fertility.ENTROPY_BITS))
+    assert [words.measures([t.encode()])[0]["script"] for t in ("ab 12", "слово", "漢字", "12 34")] == ["latin", "cyrillic", "cjk", "other"]
+
+
+def test_fertility_rejects_gibberish_and_keeps_prose(spark):
+    prose = " ".join(["the quick brown fox jumps over a lazy dog while nobody looks"] + [f"and {w} again" for w in "red green blue black".split()])
+    rows = [(1, prose, "a"), (2, " ".join("\U00013000\U00013001" for _ in range(3)) + " " + " ".join("𓀀𓁐𓂀" + chr(0x13000 + i) for i in range(20)), "a")]
+    got = {r.doc_id: r.fertility.kept for r in fertility.measured(corpus.documents(spark, rows), RANKS, PATTERN, PIECES).collect()}
+    assert got == {1: True, 2: False}
+
+
+# BPE -------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return tiktoken.Encoding("w", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_chunks.read_ranks(RANKS), special_tokens={})
+
+
+@pytest.mark.parametrize("chunk", [bpe_chunks.CHUNK, 100])
+def test_encoding_equals_the_library(odd, whole, chunk):
+    got = bpe_chunks.decode(bpe_chunks.encode(odd, RANKS, PATTERN, chunk), RANKS).collect()
+    digest = lambda i, ids, data: (str(i), len(ids), hashlib.sha256(str(list(ids)).encode()).hexdigest(), hashlib.sha256(data).hexdigest())
+    want = [digest(i, whole.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in corpus.odd_rows()]
+    assert sorted(digest(r.doc_id, r.ids, bytes(r.bytes)) for r in got) == sorted(want)
+
+
+def test_any_chunks_stitch(whole):
+    enc = bpe_chunks.encoder(RANKS, PATTERN)
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        text = "".join(rng.choice(list("ab' \n\t\r1é! 　  's")) for _ in range(rng.integers(0, 300)))
+        for size in (1, 9, 40):
+            ids, skip = [], 0
+            for part, following in bpe_chunks.chunks_of(text, size):
+                found, ahead = bpe_chunks.encode_chunk(enc, part, following)
+                ids += found[skip:].tolist()
+                skip = ahead
+            assert ids == whole.encode_ordinary(text)
+
+
+# Mixing ----------------------------------------------------------------------------------
+
+
+def water_level(sizes, weights=(5, 2, 1), cap=3):
+    """Targets by repeated resharing."""
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, full = sum(sizes.values()), {}
+    while True:
+        open_ = [s for s in names if s not in full]
+        left = total - sum(full.values())
+        share = {s: left * weight[s] / sum(weight[t] for t in open_) for s in open_}
+        over = {s: cap * sizes[s] for s in open_ if share[s] > cap * sizes[s]}
+        if not over:
+            return full | share
+        full |= over
+
+
+def test_mix_meets_targets(odd):
+    docs = odd.drop("mix")
+    got = es_mix.mixed(docs, es_mix.quality_weight()).select("doc_id", "source", "text", "mix").collect()
+    assert len(got) == docs.count()
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for r in got:
+        n = len(WORD.findall(r.text or ""))
+        assert r.mix.size == n and 0 <= r.mix.copies <= 3
+        sizes[r.source] += n
+        taken[r.source] += n * r.mix.copies
+        largest[r.source] = max(largest[r.source], n)
+    want = water_level(sizes)
+    for r in got:
+        assert r.mix.source_size == sizes[r.source] and r.mix.target == pytest.approx(want[r.source])
+        assert r.mix.copies >= int(want[r.source] / sizes[r.source] + 1e-9)  # complete epochs first
+    assert all(abs(taken[s] - want[s]) <= 2 * largest[s] for s in sizes)
+    again = es_mix.mixed(docs.repartition(3), es_mix.quality_weight()).select("doc_id", "text", "mix").collect()
+    key = lambda r: (str(r.doc_id), r.text or "", r.mix.copies)
+    assert sorted(map(key, again)) == sorted(map(key, got))
+    out = es_mix.sampled(docs, es_mix.quality_weight())
+    assert out.columns == docs.columns and out.count() == sum(r.mix.copies for r in got)
+
+
+def test_mix_draws_by_weight(spark):
+    rows = [(i, "w " * 10, s) for s in "ab" for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("good", F.col("doc_id") % 2 == 0)
+    got = es_mix.mixed(docs, F.when(F.col("good"), 1.0).otherwise(0.2), (1, 9)).where("source = 'a'").collect()
+    assert sum(r.mix.size * r.mix.copies for r in got) == pytest.approx(got[0].mix.target, abs=10)
+    picked = Counter(r.good for r in got if r.mix.copies)
+    assert 3.0 < picked[True] / picked[False] < 6.0

@@ -417,7 +417,7 @@ class Reader:
         before = np.where(known, _take(self.before, m.column_edges(), at), 0) if n else np.zeros(len(ids))
         base = np.log10((count + 1) / (words.tokens + n + 1))
         uniform = m.spread / (n + 1)
-        unigram = (discounted(before, m.word_discounts) / m.pairs if m.pairs else 0.0) + uniform
+        unigram = (discounted(before, m.word_discounts) / m.pairs if m.pairs else np.zeros(len(ids))) + uniform
         second = ids[inverse]
         first = np.empty_like(second)
         first[1:] = second[:-1]
