@@ -35,7 +35,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 LINK = r"""(?i)\s(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
-DAMPING, ROUNDS, TOLERANCE = 0.85, 30, 1e-9
+DAMPING, ROUNDS, TOLERANCE = 0.85, 20, 1e-6
 FLOOR, THRESHOLD = 0.5, 0.5
 
 
