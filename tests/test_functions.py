@@ -6,7 +6,7 @@ from rows import at
 
 from tidemark import functions as fn
 from tidemark.operators import routing
-from tidemark.operators.search import matches, search_page, text_match
+from tidemark.operators.search import matches, search_after, search_page, text_match
 
 
 def one(spark, column, **values):
@@ -138,10 +138,11 @@ def test_search_clauses(spark):
     assert docs.where(text_match("  ")).count() == 0
 
 
-def test_deep_pages_are_refused(spark):
-    docs = spark.range(1).selectExpr("id", "current_timestamp() AS updated_at")
-    with pytest.raises(ValueError):
-        search_page(docs, page=101, limit=500)
+def test_pages_have_the_size_asked_for(spark):
+    docs = spark.range(20_000).selectExpr("id", "timestamp_micros(1) AS updated_at")
+    assert [r["id"] for r in search_page(docs, page=2, limit=250).collect()] == list(range(250, 500))
+    assert [r["id"] for r in search_page(docs, page=40, limit=500).collect()][-1] == 19_999
+    assert search_after(docs, 1, 99, limit=250).count() == 250
 
 
 def test_throughput_slices_agree_with_brute_force(spark):

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: longest error text kept in a dead-letter row.
+# Fixed value: longest error text that is shown.
 ERROR_LIMIT = 2000
 
 
-def error_text(kind: Column, reason: Column) -> Column:
-    """``kind: reason``, cut to the stored length."""
-    return F.left(F.concat_ws(": ", kind, reason), F.lit(ERROR_LIMIT))
+def error_text(kind: Column, reason: Column, limit: int | None = ERROR_LIMIT) -> Column:
+    """``kind: reason``, cut to ``limit`` characters unless that is None."""
+    text = F.concat_ws(": ", kind, reason)
+    return text if limit is None else F.left(text, F.lit(limit))
 
 
 def or_unknown(value: Column) -> Column:

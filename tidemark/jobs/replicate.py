@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.jobs import store as st
@@ -17,7 +17,7 @@ from tidemark.operators import deadletter
 from tidemark.operators.change import judged, op_kind, rejected
 from tidemark.schemas import LEDGER, RECORD
 from tidemark.sources.cursor import WATERMARK, after_cursor, bounded_range, high_water, upto_cursor
-from tidemark.sources.numbering import page_plan
+from tidemark.sources.numbering import range_plan
 from tidemark.functions.times import micros
 
 # Re-read at each batch, so that a batch sees the table as it is then.
@@ -33,6 +33,8 @@ SEARCH = "search"
 CHUNK_ROWS = 50_000_000
 # Chunks listed on the driver at a time.
 CHUNK_LIST = 1_000
+# Shares of a backlog a batch can take: halvings, then steps of a 64th.
+SHARES = sorted({2.0**-k for k in range(7, 31)} | {k / 64 for k in range(1, 64)})
 _MAX_LONG = 2**63 - 1
 
 
@@ -63,7 +65,7 @@ def write_batch(
         store.write_dead_letters(batch, bad.hint("rebalance"))
     for sink in sinks:
         sink(written, batch)
-    store.commit(batch, stats)
+    store.commit(batch, {**stats, "n_dead_letters": stats["n_rejected"]})
 
 
 def _stats(written: DataFrame) -> dict[str, int]:
@@ -89,29 +91,23 @@ def plan_chunks(store: Store, records: DataFrame, chunk_rows: int) -> bool:
     top = known.agg(F.max("last_id").alias("id"), F.max("batch_id").alias("n")).first()
     last_id, n = top["id"] or 0, top["n"] or 0
     new = records.where(after_cursor(records, ["id"], [last_id])).select("id")
-    ends = new.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last_id")).first()
     common = {"mode": st.BACKFILL, "kind": st.CHUNK, "at_micros": st.now_micros()}
-    if ends["n"] <= chunk_rows:
-        if ends["n"]:
-            one = {"batch_id": n + 1, "lo_id": last_id, "last_id": ends["last_id"]}
-            store.append_ledger({**common, **one})
-        return ends["n"] > 0
-    plan = page_plan(new, chunk_rows, after_page=n)
     # Each chunk starts where the one before ends, so ids that turn up in a gap are read.
-    starts = plan.select((F.col("page") + 1).alias("page"), F.col("last_id").alias("lo_id"))
-    rows = plan.join(starts, "page", "left").withColumns(
+    # One row per chunk goes through these windows.
+    in_order = Window.orderBy("first_id")
+    rows = range_plan(new, chunk_rows).withColumns(
         {
             **{name: F.lit(value) for name, value in common.items()},
-            "batch_id": F.col("page"),
-            "lo_id": F.coalesce("lo_id", F.lit(last_id)),
+            "batch_id": F.row_number().over(in_order) + n,
+            "lo_id": F.coalesce(F.lag("last_id").over(in_order), F.lit(last_id)),
         }
     )
+    planned = ("batch_id", "lo_id", "last_id", *common)
     filled = [
-        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if f.name in planned else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in LEDGER.fields
     ]
-    store.append_ledger_table(rows.select(*filled))
-    return True
+    return store.append_ledger_table(rows.select(*filled))
 
 
 def pending_chunks(chunks: DataFrame, commits: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -167,17 +163,24 @@ def next_bound(
     """Where the next batch ends, as ``(micros, id)``, or None without a backlog.
 
     ``max_rows`` aims at a batch size: the cut is an approximate quantile of the waiting
-    timestamps, found in one aggregate; which rows the batch covers is exact all the same.
+    timestamps. Count, end and quantiles come from one aggregate over the cursor columns;
+    which rows the batch covers is exact all the same.
     """
     backlog = records.where(after_cursor(records, WATERMARK, (lo[0] or 0, lo[1])))
-    if max_rows:
-        waiting = backlog.count()
-        if waiting > max_rows:
-            cut = F.percentile_approx(micros(F.col("updated_at")), max_rows / waiting, 10_000)
-            at = backlog.agg(cut.alias("at")).first()["at"]
-            backlog = backlog.where(upto_cursor(records, WATERMARK, (at, _MAX_LONG)))
-    hi = high_water(backlog)
-    return (hi["micros"], hi["id"]) if hi else None
+    if not max_rows:
+        hi = high_water(backlog)
+        return (hi["micros"], hi["id"]) if hi else None
+    at = micros(F.col("updated_at"))
+    top = F.max(F.struct(at.alias("micros"), "id")).alias("hi")
+    seen = backlog.agg(F.count(F.lit(1)).alias("n"), top, F.percentile_approx(at, SHARES, 10_000).alias("cuts")).first()
+    if not seen["n"]:
+        return None
+    if seen["n"] <= max_rows:
+        return (seen["hi"]["micros"], seen["hi"]["id"])
+    fitting = [cut for share, cut in zip(SHARES, seen["cuts"]) if share * seen["n"] <= max_rows]
+    cut = fitting[-1] if fitting else seen["cuts"][0]
+    hi = high_water(backlog.where(upto_cursor(records, WATERMARK, (cut, _MAX_LONG))))
+    return (hi["micros"], hi["id"])
 
 
 def run_incremental(
@@ -214,27 +217,61 @@ def run_incremental(
 # -- replay -----------------------------------------------------------------------------
 
 
-def run_replay(store: Store, source: Source) -> int:
-    """Replay every pending dead letter whose current source row is fit now.
+def run_replay(
+    store: Store, source: Source, sinks: Sequence[Sink] = (), keys: DataFrame | None = None
+) -> int:
+    """Replay pending dead letters whose current source row is fit now.
 
-    Repaired rows join the change log under their own mode, which publishes no events;
-    entries are closed from the written copy. Returns the number of rows repaired.
+    ``keys`` (source_record_id, sink) picks entries; without it, all pending ones. Repaired
+    rows join the change log under their own mode, which publishes no events, and go to
+    ``sinks`` like any batch; entries are closed from the written copy. If a sink refuses
+    them, nothing is repaired and each entry gets one more attempt with the sink's error.
+    Returns the number of rows repaired. Without anything to repair, nothing is written.
     """
     if store.dead_letter_log().isEmpty():
         return 0
-    progress = store.progress(st.REPLAY)
-    batch_id = progress.open.batch_id if progress.open else progress.next_batch_id
-    batch = store.plan(progress, st.REPLAY, batch_id)
-    at, seq = F.timestamp_micros(F.lit(batch.at_micros)), F.lit(batch.at_micros).cast("long")
     plan = deadletter.replay_plan(store.dead_letters(), source())
-    rows = judged(deadletter.replayable(plan)).withColumns(
-        {"op": F.lit(None).cast("string"), "emitted_at": at, "batch_seq": seq}
-    )
+    if keys is not None:
+        plan = plan.join(
+            keys.select(F.col("source_record_id").alias("id"), "sink").distinct(), ["id", "sink"], "left_semi"
+        )
+    fit = deadletter.replayable(plan)
+    if fit.isEmpty():
+        return 0
+    batch, rows = _replay_batch(store, fit)
     written = store.write_changes(batch, rows)
     stats = _stats(written)
+    try:
+        for sink in sinks:
+            sink(written, batch)
+    except Exception as refusal:
+        _bump(store, written, refusal)
+        return 0
     outcome = F.when(F.col("deleted_at").isNull(), deadletter.OK).otherwise(deadletter.TOMBSTONE)
     closed = written.withColumns({"outcome": outcome, "sink": F.lit(SEARCH)})
-    store.write_dead_letters(batch, deadletter.outcome_rows(closed, at, seq))
-    # The outcome rows are read like rejects: through batches that have any.
-    store.commit(batch, {**stats, "n_rejected": stats["n_rows"]})
+    store.write_dead_letters(batch, deadletter.outcome_rows(closed, *_stamp(batch)))
+    store.commit(batch, {**stats, "n_dead_letters": stats["n_rows"]})
     return stats["n_rows"]
+
+
+def _stamp(batch: Batch) -> tuple[Column, Column]:
+    return F.timestamp_micros(F.lit(batch.at_micros)), F.lit(batch.at_micros).cast("long")
+
+
+def _replay_batch(store: Store, fit: DataFrame) -> tuple[Batch, DataFrame]:
+    progress = store.progress(st.REPLAY)
+    batch_id = progress.open.batch_id if progress.open else progress.next_batch_id
+    batch = store.plan(progress, st.REPLAY, batch_id)
+    at, seq = _stamp(batch)
+    return batch, judged(fit).withColumns({"op": F.lit(None).cast("string"), "emitted_at": at, "batch_seq": seq})
+
+
+def _bump(store: Store, refused: DataFrame, refusal: Exception) -> None:
+    """One more attempt for every refused entry, as a new attempt of the batch without rows."""
+    progress = store.progress(st.REPLAY)
+    batch = store.plan(progress, st.REPLAY, progress.open.batch_id)
+    keys = refused.select(F.col("id").alias("source_record_id"), F.lit(SEARCH).alias("sink"))
+    error = F.lit(f"{type(refusal).__name__}: {refusal}")
+    store.write_dead_letters(batch, deadletter.bump_rows(keys, error, *_stamp(batch)))
+    n = keys.count()
+    store.commit(batch, {"n_rows": 0, "n_rejected": 0, "n_deleted": 0, "n_dead_letters": n})

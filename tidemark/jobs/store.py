@@ -25,7 +25,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,8 @@ OPERATOR, WORKER = "operator", "worker"
 CHUNK, PLAN, COMMIT, STATUS, SNAPSHOT = "chunk", "plan", "commit", "status", "snapshot"
 
 KEYS = [f.name for f in BATCH_KEYS]
+# Where sessions note the snapshots they know; the files lie below the store's root.
+DATABASE = "tidemark_snapshots"
 # Newest wins: version, then its time, then the batch, as a repair may keep the version.
 STATE_ORDER = ("version", "updated_at", "batch_seq")
 STATE_COLUMNS = [c for c in CHANGE.names if c not in ("op", "reject_reason", "emitted_at")]
@@ -74,13 +76,25 @@ def _standing() -> list[Column]:
     return [F.expr(text).alias(name) for name, text in STANDING.items()]
 
 
+def first_commits(ledger: DataFrame) -> DataFrame:
+    """One commit per batch: the first, whatever a run thought dead commits later."""
+    row = F.struct(*ledger.columns)
+    commits = ledger.where(F.col("kind") == COMMIT).groupBy("mode", "batch_id")
+    return commits.agg(F.min_by(row, F.struct("at_micros", "attempt")).alias("_c")).select("_c.*")
+
+
+def settled(ledger: DataFrame) -> DataFrame:
+    """The ledger with one commit per batch."""
+    return ledger.where(F.col("kind") != COMMIT).unionByName(first_commits(ledger))
+
+
 def checkpoints(ledger: DataFrame) -> DataFrame:
     """One row per mode: status, cursors, rows and batches so far. All from one aggregate.
 
     An operator's pause holds until the operator resumes, whatever the worker reports
     meanwhile; after a resume the mode is idle until the worker reports again.
     """
-    rows = ledger.where(F.col("kind").isin(COMMIT, STATUS))
+    rows = settled(ledger.where(F.col("kind").isin(COMMIT, STATUS)))
     return rows.groupBy("mode").agg(*_standing()).select(
         "mode",
         F.expr(STATUS_RULE).alias("status"),
@@ -142,20 +156,27 @@ class Store:
     def append_ledger(self, *rows: dict) -> None:
         """Append rows as one file: all of them become visible, or none."""
         cells = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(LEDGER))
-        self.append_ledger_table(self.spark.range(1).select(F.inline(cells)))
+        one = self.spark.range(1, numPartitions=1).select(F.inline(cells))
+        one.write.mode("append").parquet(self._ledger_folder())
 
-    def append_ledger_table(self, rows: DataFrame) -> None:
+    def _ledger_folder(self) -> str:
         # Two jobs must not append to one folder at a time: the first to finish would
         # clear the other's temporary files. So each thread of each process has its own.
-        folder = f"{self.root}/ledger/writer={self._id}-{threading.get_ident()}"
-        rows.coalesce(1).write.mode("append").parquet(folder)
+        return f"{self.root}/ledger/writer={self._id}-{threading.get_ident()}"
+
+    def append_ledger_table(self, rows: DataFrame) -> bool:
+        """Append a table as one file; False if it has no rows."""
+        count = Observation()
+        one = rows.repartition(1).observe(count, F.count(F.lit(1)).alias("n"))
+        one.write.mode("append").parquet(self._ledger_folder())
+        return count.get["n"] > 0
 
     def ledger(self) -> DataFrame:
         """A few rows per batch, whatever the size of the batches."""
         return self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger").select(*LEDGER.names)
 
     def commits(self) -> DataFrame:
-        return self.ledger().where(F.col("kind") == COMMIT)
+        return first_commits(self.ledger())
 
     def checkpoints(self) -> DataFrame:
         return checkpoints(self.ledger())
@@ -165,8 +186,7 @@ class Store:
         top = f"coalesce(max(batch_id) FILTER (WHERE kind = '{COMMIT}'), 0L)"
         plan = f"max(struct({', '.join(PLANNED)})) FILTER (WHERE kind = '{PLAN}')"
         row = (
-            self.ledger()
-            .where(F.col("mode") == mode)
+            settled(self.ledger().where(F.col("mode") == mode))
             .agg(*_standing(), F.expr(top).alias("top"), F.expr(plan).alias("plan"))
             .withColumn("status", F.expr(STATUS_RULE))
             .first()
@@ -183,6 +203,10 @@ class Store:
     def set_status(self, mode: str, status: str) -> None:
         self.append_ledger(self._status_row(mode, status))
 
+    def paused(self, *modes: str) -> bool:
+        """Whether the operator holds any of the modes."""
+        return any(self.progress(mode).status == PAUSED for mode in modes)
+
     def pause(self, mode: str) -> None:
         self.append_ledger(self._status_row(mode, PAUSED, OPERATOR))
 
@@ -224,24 +248,21 @@ class Store:
     def _committed(self, log: str, schema: T.StructType, covered: dict[str, int]) -> DataFrame:
         """Rows of committed attempts, without batches a snapshot covers.
 
-        ``covered`` becomes a literal filter on the folder columns: those folders are
-        pruned before the join with the ledger.
+        The reader gets the folders of these attempts: one per batch since the snapshot.
+        Covered folders are not even listed, and no join with the ledger is needed.
         """
-        commits = self.commits()
-        if log == "dead_letters":
-            commits = commits.where(F.col("n_rejected") > 0)
-        if commits.isEmpty():
-            return self.spark.createDataFrame([], T.StructType(schema.fields + BATCH_KEYS))
-        path = f"{self.root}/{log}"
-        rows = self.spark.read.schema(T.StructType(schema.fields + BATCH_KEYS)).parquet(path)
+        held = {"changes": F.col("n_rows") > 0, "dead_letters": F.coalesce("n_dead_letters", "n_rejected") > 0}
         fresh = [
             (F.col("mode") != mode) | (F.col("batch_id") > batch_id)
             for mode, batch_id in covered.items()
         ]
-        wanted = rows.where(reduce(and_, fresh, F.lit(True)))
-        # One attempt per batch, even if a run thought dead came back and committed too.
-        attempts = commits.groupBy("mode", "batch_id").agg(F.min("attempt").alias("attempt"))
-        return wanted.join(attempts, KEYS, "left_semi")
+        wanted = self.commits().where(reduce(and_, fresh, held[log])).select(*KEYS).collect()
+        whole = T.StructType(schema.fields + BATCH_KEYS)
+        if not wanted:
+            return self.spark.createDataFrame([], whole)
+        path = f"{self.root}/{log}"
+        folders = [f"{path}/mode={r.mode}/batch_id={r.batch_id}/attempt={r.attempt}" for r in wanted]
+        return self.spark.read.schema(whole).option("basePath", path).parquet(*folders)
 
     def changes(self, covered: dict[str, int] | None = None) -> DataFrame:
         return self._committed("changes", CHANGE, covered or {})
@@ -268,12 +289,13 @@ class Store:
         return self._bucketed_table(newest, parts[0]["n_buckets"]), covered, parts[0]["n_buckets"]
 
     def _table_name(self, path: str) -> str:
-        return "tidemark_" + hashlib.md5(path.encode()).hexdigest()
+        return f"{DATABASE}.snapshot_" + hashlib.md5(path.encode()).hexdigest()
 
     def _bucketed_table(self, path: str, n_buckets: int) -> DataFrame:
         """The snapshot as a bucketed table; a new session learns of it here."""
         name = self._table_name(path)
         if not self.spark.catalog.tableExists(name):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
             fields = T.StructType([CHANGE[c] for c in STATE_COLUMNS]).toDDL()
             self.spark.sql(
                 f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (id) SORTED BY (id) "
@@ -311,6 +333,7 @@ class Store:
         # again next time, never skipped.
         latest = self.commits().groupBy("mode").agg(F.max("batch_id").alias("batch_id")).collect()
         path = f"{self.root}/snapshots/{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
         state = self._merged().select(*STATE_COLUMNS).repartition(n_buckets, "id")
         (
             state.write.format("parquet")

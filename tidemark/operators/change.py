@@ -11,10 +11,8 @@ from tidemark.schemas import RECORD
 
 # The words of the change kinds.
 CREATED, UPDATED, DELETED = "created", "updated", "deleted"
-# Fixed value: the document fields besides its key.
-DOCUMENT_FIELDS = (
-    "external_id name email company city country status tags amount version created_at updated_at"
-).split()
+# The document has all fields of the record but its key and the deletion mark.
+DOCUMENT_FIELDS = [name for name in RECORD.names if name not in ("id", "deleted_at")]
 # Fixed value: the error kind of a document that does not fit its mapping.
 MAPPING_ERROR = "mapper_parsing_exception"
 
@@ -39,7 +37,7 @@ def judged(df: DataFrame) -> DataFrame:
     NULL amount is an absent field, not a bad one.
     """
     bad = F.col("amount").isNotNull() & F.col("amount_value").isNull()
-    reason = error_text(F.lit(MAPPING_ERROR), F.concat(F.lit("bad amount "), F.col("amount")))
+    reason = error_text(F.lit(MAPPING_ERROR), F.concat(F.lit("bad amount "), F.col("amount")), limit=None)
     typed = df.withColumn("amount_value", strict_double(F.col("amount")))
     return typed.withColumn("reject_reason", F.when(~is_deleted() & bad, reason))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import is_strict_number
 from tidemark.functions.text import ERROR_LIMIT
+from tidemark.functions.times import micros
 from tidemark.operators.state import lookup
 from tidemark.sources.numbering import numbered
 
@@ -67,7 +68,7 @@ def failure_rows(
         "external_id",
         F.lit(sink).alias("sink"),
         F.to_json(F.struct(*payload)).alias("payload"),
-        F.left("reject_reason", F.lit(ERROR_LIMIT)).alias("error"),
+        F.col("reject_reason").alias("error"),
         failed_at.alias("failed_at"),
         F.lit(FAILURE).alias("kind"),
         batch_seq.alias("batch_seq"),
@@ -75,9 +76,15 @@ def failure_rows(
 
 
 def list_entries(dlq: DataFrame, status: str = PENDING, limit: int = 50, offset: int = 0) -> DataFrame:
-    """One page of entries, newest failure first."""
+    """One page of entries, newest failure first, long errors cut for display."""
     newest = [F.desc("first_failed_at"), F.desc("source_record_id")]
-    return dlq.where(F.col("status") == status).orderBy(*newest).offset(offset).limit(limit)
+    page = dlq.where(F.col("status") == status).orderBy(*newest).offset(offset).limit(limit)
+    return page.withColumn("error", F.left("error", F.lit(ERROR_LIMIT)))
+
+
+def entry(dlq: DataFrame, source_record_id: int, sink: str) -> DataFrame:
+    """The entry of one source row and sink, whole."""
+    return dlq.where((F.col("source_record_id") == source_record_id) & (F.col("sink") == sink))
 
 
 def latest_entries(dlq: DataFrame, n: int) -> DataFrame:
@@ -89,9 +96,14 @@ def counts_by_status(dlq: DataFrame) -> DataFrame:
 
 
 def attempts(log: DataFrame) -> DataFrame:
-    """Each failure with its attempt number; days are the buckets of a busy entry."""
-    day = F.unix_date(F.to_date("failed_at"))
-    return numbered(log, ["failed_at", "worker"], [day], KEY, out="attempt")
+    """Each failure and refused replay with its number as ``attempt_no``.
+
+    Hours, then seconds, are the buckets of a busy entry.
+    """
+    tried = log.where(F.col("kind").isin(FAILURE, BUMP))
+    second = F.floor(micros(F.col("failed_at")) / F.lit(1_000_000))
+    buckets = [F.floor(second / F.lit(3600)), second]
+    return numbered(tried, ["failed_at", "batch_seq", "mode"], buckets, KEY, out="attempt_no")
 
 
 def replay_plan(dlq: DataFrame, records: DataFrame) -> DataFrame:
@@ -144,7 +156,7 @@ def bump_rows(keys: DataFrame, error: Column, at: Column, batch_seq: Column) ->
         *KEY,
         F.lit(None).cast("string").alias("external_id"),
         F.lit(None).cast("string").alias("payload"),
-        F.left(error, F.lit(ERROR_LIMIT)).alias("error"),
+        error.alias("error"),
         at.alias("failed_at"),
         F.lit(BUMP).alias("kind"),
         batch_seq.alias("batch_seq"),

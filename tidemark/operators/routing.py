@@ -16,9 +16,11 @@ def routing_key(op: Column | None = None) -> Column:
 
 def binding_regex(pattern: str) -> str:
     """A topic pattern as a regular expression: ``*`` is one word, ``#`` any number."""
-    if pattern == "#":
-        return "^.*$"
     words = [r"[^.]+" if w == "*" else w if w == "#" else re.escape(w) for w in pattern.split(".")]
+    # Several "#" in a row say no more than one.
+    words = [w for i, w in enumerate(words) if w != "#" or i == 0 or words[i - 1] != "#"]
+    if words == ["#"]:
+        return "^.*$"
     text = r"\.".join(words)
     # "#" may stand for no word at all, so it takes its dot along.
     text = text.replace(r"\.#", r"(\.[^.]+)*").replace(r"#\.", r"([^.]+\.)*")

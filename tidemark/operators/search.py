@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import tokens
 from tidemark.sources.cursor import after_cursor
 
-# Page size cap and default, and how deep numbered pages reach.
-PAGE_CAP, PAGE_DEFAULT = 100, 25
-RESULT_WINDOW = 10_000
+# Fixed value: the page size if none is asked for.
+PAGE_DEFAULT = 25
 ORDER = ("updated_at", "id")
 
 
@@ -48,12 +47,9 @@ def search_page(
 ) -> DataFrame:
     """One page of hits, newest first, ties by id.
 
-    Plans as a top-k of ``page * limit`` rows per task, so numbered pages end at
-    ``RESULT_WINDOW``; :func:`search_after` goes on from any row at constant cost.
+    Plans as a top-k of ``page * limit`` rows per task, so a page costs what lies before
+    it; :func:`search_after` goes on from any row at constant cost.
     """
-    limit = min(limit, PAGE_CAP)
-    if page * limit > RESULT_WINDOW:
-        raise ValueError(f"page ends beyond row {RESULT_WINDOW}; use search_after")
     hits = search(docs, **clauses).orderBy(F.desc("updated_at"), "id")
     return hits.offset((page - 1) * limit).limit(limit)
 
@@ -64,7 +60,7 @@ def search_after(
     """The page that follows the hit ``(updated_at, id)``."""
     rest = after_cursor(docs, ORDER, (updated_micros, last_id), descending=["updated_at"])
     hits = search(docs, **clauses).where(rest)
-    return hits.orderBy(F.desc("updated_at"), "id").limit(min(limit, PAGE_CAP))
+    return hits.orderBy(F.desc("updated_at"), "id").limit(limit)
 
 
 def search_total(docs: DataFrame, **clauses: str | None) -> DataFrame:

@@ -7,7 +7,7 @@ twice, damaged in the copy), as the given tables hold no such rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import micros, parse_tags
@@ -33,7 +33,9 @@ TABLES = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
     "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
-    "lineitem": "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
     "props string",
 }
@@ -202,16 +204,16 @@ class Inputs:
         """One rejection per worker for every bad live row, in the dead-letter log's form."""
         bad = rejected(judged(self.rec()))
         seen = F.array(
-            F.struct(F.lit("backfill").alias("worker"), F.lit(1).alias("hrs")),
-            F.struct(F.lit("incremental").alias("worker"), F.lit(2).alias("hrs")),
+            F.struct(F.lit("backfill").alias("mode"), F.lit(1).alias("hrs")),
+            F.struct(F.lit("incremental").alias("mode"), F.lit(2).alias("hrs")),
         )
         return bad.withColumn("_w", F.explode(seen)).select(
             F.col("id").alias("source_record_id"),
             "external_id",
             F.lit("search").alias("sink"),
-            F.col("_w.worker").alias("worker"),
-            F.col("amount").alias("payload"),
-            F.concat(F.lit(f"{MAPPING_ERROR}: bad amount "), "amount").alias("error"),
+            F.col("_w.mode").alias("mode"),
+            F.concat("amount", F.lit("@"), "_w.mode").alias("payload"),
+            F.concat(F.lit(f"{MAPPING_ERROR}: bad amount "), "amount", F.lit(" in "), "_w.mode").alias("error"),
             (F.col("updated_at") + F.make_dt_interval(hours=F.col("_w.hrs"))).alias("failed_at"),
             F.lit(deadletter.FAILURE).alias("kind"),
             F.col("_w.hrs").cast("long").alias("batch_seq"),
@@ -250,7 +252,7 @@ class Inputs:
         version = F.when(F.col("id") % 53 == 1, F.col("version") - 1).otherwise(F.col("version"))
         extra = self.rec().where(F.col("id") % 1009 == 0)
         return live.select("id", version.cast("int").alias("version")).unionByName(
-            extra.select((F.col("id") + 1_000_000).alias("id"), F.lit(1).alias("version"))
+            extra.select((-F.col("id")).alias("id"), F.lit(1).alias("version"))
         )
 
     def samples(self) -> DataFrame:
@@ -262,26 +264,27 @@ class Inputs:
         )
 
     def changes(self) -> DataFrame:
-        """Changes to orders, read off their lines: some lines update their order, some
-        delete it, some insert it again; each customer adds a row of its own."""
+        """Changes to orders, read off all their lines: some lines update their order, with
+        or without values, some delete it, some insert it again; each customer adds a row
+        of its own, under a negative id."""
         at = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
-        line = F.col("l_linenumber")
-        lines = (
-            self.table("lineitem")
-            .groupBy("l_orderkey", line)
-            .agg(F.max("l_returnflag").alias("l_returnflag"), F.max("l_quantity").alias("l_quantity"))
-            .where(F.col("l_returnflag").isin("R", "A"))
+        line, flag, seq = F.col("l_linenumber"), F.col("l_returnflag"), F.col("seq")
+        # An order has a handful of lines; all columns make their order unique.
+        order = """l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax
+        l_returnflag l_linestatus l_shipdate""".split()
+        lines = self.table("lineitem").withColumn(
+            "seq", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
         )
         by_line = lines.select(
             (F.col("l_orderkey") + 1).alias("id"),
-            line.cast("long").alias("seq"),
-            F.when(F.col("l_returnflag") == "R", mutate.UPDATE)
+            seq.cast("long").alias("seq"),
+            F.when(flag.isin("R", "N"), mutate.UPDATE)
             .when(line >= 4, mutate.DELETE)
             .otherwise(mutate.INSERT)
             .alias("kind"),
-            (at + F.make_dt_interval(hours=line.cast("int"))).alias("changed_at"),
-            F.when(line % 2 == 0, F.lit("pending")).alias("status"),
-            F.col("l_quantity").cast("decimal(12,2)").cast("string").alias("amount"),
+            (at + F.make_dt_interval(hours=seq)).alias("changed_at"),
+            F.when((flag != "N") & (line % 2 == 0), F.lit("pending")).alias("status"),
+            F.when(flag != "N", F.col("l_quantity").cast("decimal(12,2)").cast("string")).alias("amount"),
         )
         key = F.col("c_custkey")
         steps = F.array(F.lit(mutate.UPDATE), F.lit(mutate.INSERT), F.lit(mutate.UPDATE))
@@ -289,7 +292,7 @@ class Inputs:
             self.table("customer")
             .select(key, "c_acctbal", F.posexplode(steps).alias("step", "kind"))
             .select(
-                (key + 100_000_000).alias("id"),
+                (-1 - key).alias("id"),
                 F.col("step").cast("long").alias("seq"),
                 "kind",
                 (at + F.make_dt_interval(hours=F.col("step"))).alias("changed_at"),

@@ -125,14 +125,15 @@ LEFT JOIN (SELECT mode, sum(n_rows) AS n, count(*) AS c
 LEFT JOIN (SELECT * FROM incremental_ledger ORDER BY hi_micros DESC, hi_id DESC LIMIT 1) i
        ON i.mode = s.mode""",
     "failures": """
-SELECT id AS source_record_id, external_id, 'search' AS sink, worker,
-       concat('mapper_parsing_exception: bad amount ', amount) AS error,
+SELECT id AS source_record_id, external_id, 'search' AS sink, mode, concat(amount, '@', mode) AS payload,
+       concat('mapper_parsing_exception: bad amount ', amount, ' in ', mode) AS error,
        updated_at + hrs * INTERVAL '1' HOUR AS failed_at
 FROM rec
-CROSS JOIN (SELECT 'backfill' AS worker, 1 AS hrs UNION ALL SELECT 'incremental', 2) w
+CROSS JOIN (SELECT 'backfill' AS mode, 1 AS hrs UNION ALL SELECT 'incremental', 2) w
 WHERE amount = 'N/A' AND deleted_at IS NULL""",
     "dlq": """
-SELECT source_record_id, sink, min(external_id) AS external_id, min(error) AS error,
+SELECT source_record_id, sink, min(external_id) AS external_id,
+  arg_max(error, failed_at) AS error, arg_max(payload, failed_at) AS payload,
   CAST(count(*) AS INTEGER) AS attempt_count, 'pending' AS status,
   min(failed_at) AS first_failed_at, max(failed_at) AS last_failed_at
 FROM failures GROUP BY source_record_id, sink""",
@@ -162,7 +163,7 @@ FROM dlq d JOIN replay r ON r.id = d.source_record_id""",
 SELECT id, CAST(CASE WHEN id % 53 = 1 THEN version - 1 ELSE version END AS INTEGER) AS version
 FROM rec WHERE deleted_at IS NULL AND id % 47 <> 0
 UNION ALL
-SELECT id + 1000000 AS id, CAST(1 AS INTEGER) AS version FROM rec WHERE id % 1009 = 0""",
+SELECT -id AS id, CAST(1 AS INTEGER) AS version FROM rec WHERE id % 1009 = 0""",
     "source": "SELECT id, version FROM rec WHERE deleted_at IS NULL",
     "reconciled": """
 SELECT coalesce(s.id, t.id) AS id, s.version AS source_version, t.version AS sink_version,
@@ -184,16 +185,16 @@ FROM (
   WINDOW w AS (PARTITION BY mode ORDER BY t_ms RANGE BETWEEN 30000 PRECEDING AND CURRENT ROW)
 ) x""",
     "changes": """
-SELECT l_orderkey + 1 AS id, CAST(l_linenumber AS BIGINT) AS seq,
-  CASE WHEN l_returnflag = 'R' THEN 'update' WHEN l_linenumber >= 4 THEN 'delete' ELSE 'insert' END AS kind,
-  TIMESTAMP '1999-01-01' + l_linenumber * INTERVAL '1' HOUR AS changed_at,
-  CASE WHEN l_linenumber % 2 = 0 THEN 'pending' END AS status,
-  CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) AS amount
-FROM (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS l_returnflag, max(l_quantity) AS l_quantity
-      FROM lineitem GROUP BY l_orderkey, l_linenumber) l
-WHERE l_returnflag IN ('R', 'A')
+SELECT l_orderkey + 1 AS id, seq,
+  CASE WHEN l_returnflag IN ('R', 'N') THEN 'update' WHEN l_linenumber >= 4 THEN 'delete' ELSE 'insert' END AS kind,
+  TIMESTAMP '1999-01-01' + seq * INTERVAL '1' HOUR AS changed_at,
+  CASE WHEN l_returnflag <> 'N' AND l_linenumber % 2 = 0 THEN 'pending' END AS status,
+  CASE WHEN l_returnflag <> 'N' THEN CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) END AS amount
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+        l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS seq
+      FROM lineitem) l
 UNION ALL
-SELECT c_custkey + 100000000, step, kind, TIMESTAMP '1999-01-01' + step * INTERVAL '1' HOUR, 'active',
+SELECT -1 - c_custkey, step, kind, TIMESTAMP '1999-01-01' + step * INTERVAL '1' HOUR, 'active',
   CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)
 FROM customer
 CROSS JOIN (SELECT 0 AS step, 'update' AS kind
@@ -219,7 +220,7 @@ SELECT count(DISTINCT (id, version)) FILTER (poison IS NULL) AS processed_total,
 FROM raw_events""",
 }
 
-_ENTRY = """source_record_id, sink, external_id, error, attempt_count, status,
+_ENTRY = """source_record_id, sink, external_id, payload, error, attempt_count, status,
 first_failed_at, last_failed_at"""
 _HIT = "id, name, company, country, status, amount, version, updated_at"
 _LAG = """coalesce(round(greatest(0.0, (915148800000000 - epoch_us(min(updated_at))) / 1e6), 1), 0.0)"""
@@ -318,7 +319,7 @@ SELECT coalesce(r.id, n.id) AS id, coalesce(n.status, r.status) AS status,
   coalesce(r.deleted_at, n.deleted_at) AS deleted_at
 FROM rec r FULL JOIN (
   SELECT id, count(*) AS steps, arg_max(status, seq) FILTER (status IS NOT NULL) AS status,
-    arg_max(amount, seq) AS amount, arg_max(changed_at, seq) AS updated_at,
+    arg_max(amount, seq) FILTER (amount IS NOT NULL) AS amount, arg_max(changed_at, seq) AS updated_at,
     min(changed_at) FILTER (kind = 'insert') AS created_at,
     max(changed_at) FILTER (kind = 'delete') AS deleted_at
   FROM effective GROUP BY id
@@ -335,8 +336,8 @@ FROM (SELECT *, CAST(ceil(row_number() OVER (ORDER BY id) / 500.0) AS BIGINT) AS
 GROUP BY page""",
     "dlq_upsert": f"SELECT {_ENTRY} FROM dlq",
     "dlq_attempts": """
-SELECT source_record_id, sink, worker, failed_at,
-  row_number() OVER (PARTITION BY source_record_id, sink ORDER BY failed_at, worker) AS attempt
+SELECT source_record_id, sink, mode, failed_at,
+  row_number() OVER (PARTITION BY source_record_id, sink ORDER BY failed_at, mode) AS attempt_no
 FROM failures""",
     "dlq_list": f"""
 SELECT {_ENTRY} FROM dlq ORDER BY first_failed_at DESC, source_record_id DESC LIMIT 50""",
@@ -475,7 +476,8 @@ FROM events""",
     "incremental_job": _STATE,
     "replicate_stream": _STATE,
     "dead_letter_job": """
-SELECT source_record_id, sink, external_id, error, attempt_count, status FROM dlq""",
+SELECT source_record_id, sink, external_id, 'mapper_parsing_exception: bad amount N/A' AS error,
+  attempt_count, status FROM dlq""",
     "consume_stream": """
 SELECT 'total' AS dimension, 'processed' AS key, count(*) AS n FROM unique_valid
 UNION ALL SELECT 'status', status, count(*) FROM unique_valid GROUP BY status

@@ -246,6 +246,7 @@ def _entry_columns(dlq: DataFrame) -> DataFrame:
         "source_record_id",
         "sink",
         "external_id",
+        "payload",
         "error",
         "attempt_count",
         "status",
@@ -262,7 +263,7 @@ def dlq_upsert(t):
 @query
 def dlq_attempts(t):
     rows = deadletter.attempts(t.failures())
-    return rows.select("source_record_id", "sink", "worker", "failed_at", "attempt")
+    return rows.select("source_record_id", "sink", "mode", "failed_at", "attempt_no")
 
 
 @query
@@ -291,7 +292,7 @@ def dlq_replay_result(t):
 def _after_replay(t: Inputs) -> DataFrame:
     at = F.lit("2005-01-01 00:00:00").cast("timestamp_ntz")
     closed = deadletter.outcome_rows(t.replay_plan(), at, F.lit(3).cast("long"))
-    return deadletter.entries(t.failures().drop("worker").unionByName(closed))
+    return deadletter.entries(t.failures().drop("mode").unionByName(closed))
 
 
 @query

@@ -70,6 +70,7 @@ LEDGER = T.StructType(
         T.StructField("n_rows", T.LongType()),
         T.StructField("n_rejected", T.LongType()),
         T.StructField("n_deleted", T.LongType()),
+        T.StructField("n_dead_letters", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("actor", T.StringType()),
         T.StructField("path", T.StringType()),

@@ -9,6 +9,8 @@ gives every bucket its starting number, and only rows of one bucket are sorted t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,6 +22,13 @@ BUCKET_BITS = 18
 SUPER_BITS = 40
 
 
+def _joined(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """An inner join on ``names`` in which NULL equals NULL; the left side's columns stay."""
+    renamed = right.select(*[F.col(c).alias(f"_r{c}") if c in names else F.col(c) for c in right.columns])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in names], F.lit(True))
+    return left.join(renamed, same).drop(*[f"_r{c}" for c in names])
+
+
 def _starts(counts: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
     """How many rows of the key come before each bucket."""
     parents, leaf = keys + levels[:-1], levels[-1]
@@ -29,7 +38,7 @@ def _starts(counts: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
         return here.drop("_n")
     coarse = counts.groupBy(*parents).agg(F.sum("_n").alias("_n"))
     upper = _starts(coarse, keys, levels[:-1]).withColumnRenamed("_start", "_upper")
-    return here.join(upper, parents).select(
+    return _joined(here, upper, parents).select(
         *keys, *levels, (F.col("_start") + F.col("_upper")).alias("_start")
     )
 
@@ -43,20 +52,16 @@ def numbered(
 ) -> DataFrame:
     """``df`` with ``out`` = 1, 2, ... per ``keys`` in the order ``order_by``.
 
-    ``buckets`` go from coarse to fine and must never decrease along ``order_by``.
-    Rows whose key or bucket is NULL have no number and are left out.
+    ``buckets`` go from coarse to fine and must never decrease along ``order_by``; a NULL
+    bucket comes first, as NULLs do in an ascending order. A NULL key is a key.
     """
     keys = list(keys)
     levels = [f"_b{i}" for i in range(len(buckets))]
     tagged = df.select("*", *[b.alias(name) for b, name in zip(buckets, levels)])
-    # The joins below would add these checks, differently for each level; stated here once,
-    # all levels share one count of the rows.
-    for name in keys + levels:
-        tagged = tagged.where(F.col(name).isNotNull())
     counts = tagged.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_n"))
     within = W.partitionBy(*keys, *levels).orderBy(*order_by)
     return (
-        tagged.join(_starts(counts, keys, levels), keys + levels)
+        _joined(tagged, _starts(counts, keys, levels), keys + levels)
         .withColumn(out, F.row_number().over(within) + F.col("_start"))
         .drop("_start", *levels)
     )
@@ -73,6 +78,28 @@ def with_page(df: DataFrame, page_rows: int, key: str = "id", out: str = "page")
     return ranked.withColumn(out, page.cast("long")).drop("_rank")
 
 
+def range_plan(df: DataFrame, about: int, key: str = "id") -> DataFrame:
+    """Consecutive id ranges of about ``about`` rows: page, first and last id, rows.
+
+    Ranges are cut at the edges of id buckets of at most an eighth of a range, so ids are
+    only counted, map-side, and never numbered or sorted. A range exceeds ``about`` by less
+    than a bucket; with buckets of one id the ranges are exact.
+    """
+    bits = max(0, (about // 8).bit_length() - 1)
+    levels = ["_b0", "_b1"]
+    counts = (
+        df.groupBy(F.shiftright(key, max(SUPER_BITS, bits)).alias("_b0"), F.shiftright(key, bits).alias("_b1"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_first"), F.max(key).alias("_last"))
+    )
+    starts = _starts(counts.select(*levels, "_n"), [], levels)
+    page = F.floor(F.col("_start") / F.lit(about)) + 1
+    return (
+        _joined(counts, starts, levels)
+        .groupBy(page.cast("long").alias("page"))
+        .agg(F.min("_first").alias("first_id"), F.max("_last").alias("last_id"), F.sum("_n").alias("n_rows"))
+    )
+
+
 def page_plan(df: DataFrame, page_rows: int, key: str = "id", after_page: int = 0) -> DataFrame:
     """Page number, first id, last id and rows of every page. Reads only the key column."""
     return (

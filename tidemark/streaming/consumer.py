@@ -7,7 +7,7 @@ checkpoint, which is therefore kept in the output folder: they stay or go togeth
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -56,16 +56,36 @@ def raw_event_stream(spark: SparkSession, path: str, files_per_trigger: int = 10
     return reader.text(path)
 
 
+def _ids_as_text(schema: T.StructType) -> T.StructType:
+    def kind(f: T.StructField) -> T.DataType:
+        if isinstance(f.dataType, T.StructType):
+            return _ids_as_text(f.dataType)
+        return T.StringType() if f.name == "id" else f.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f)) for f in schema.fields])
+
+
+def _with_long_ids(event: Column, schema: T.StructType) -> Column:
+    def field(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.StructType):
+            return _with_long_ids(event[f.name], f.dataType).alias(f.name)
+        return (event[f.name].try_cast("long") if f.name == "id" else event[f.name]).alias(f.name)
+
+    return F.when(event.isNotNull(), F.struct(*[field(f) for f in schema.fields]))
+
+
 def parse_events(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     """JSON texts as events plus ``poison``: NULL, or why the event cannot be counted.
 
     Poison is found before deduping, so a bad delivery never claims the key of a good one.
+    Ids may be JSON numbers or JSON texts; both are read as text and cast.
     """
-    with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    with_corrupt = T.StructType(_ids_as_text(schema).fields + [T.StructField("_corrupt_record", T.StringType())])
     event = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE"})
-    parsed = raw.withColumn("_e", event)
+    parsed = raw.withColumn("_t", event).withColumn("_e", _with_long_ids(F.col("_t"), schema))
+    bad_id = F.col("_t.id").isNotNull() & F.col("_e.id").isNull()
     poison = (
-        F.when(F.col("_e").isNull() | F.col("_e._corrupt_record").isNotNull(), "malformed")
+        F.when(F.col("_t").isNull() | F.col("_t._corrupt_record").isNotNull() | bad_id, "malformed")
         .when(F.col("_e.id").isNull() | F.col("_e.version").isNull(), "missing key")
         .when(F.col("_e.data").isNull(), "missing data")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ def replicate_stream(
     checkpoint: str,
     sinks: Sequence[Sink] = (),
     every: str | None = None,
+    look_again: float = 1.0,
 ) -> StreamingQuery:
     """Each micro-batch is one batch of the store; the stream commits after the ledger.
 
@@ -30,11 +32,20 @@ def replicate_stream(
     attempt; one that reached the ledger before the crash is left alone. Numbers belong
     to a checkpoint, so the mode carries the id Spark keeps there: a stream started over
     with a new checkpoint delivers its rows again and skips nothing.
+
+    Pausing the mode, or ``stream`` for all streams, holds the next micro-batch back: it
+    waits, nothing of it is written, and it goes on after the operator resumes. The ledger
+    is looked at every ``look_again`` seconds meanwhile; a stopped stream waits no longer.
     """
 
     def write(rows: DataFrame, number: int) -> None:
         batch_id = number + 1
-        mode = f"{st.STREAM}-{rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)}"
+        query_id = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        mode = f"{st.STREAM}-{query_id}"
+        while store.paused(st.STREAM, mode):
+            if query_id not in {str(q.id) for q in store.spark.streams.active}:
+                raise RuntimeError("stopped while paused")
+            time.sleep(look_again)
         progress = store.progress(mode)
         if batch_id < progress.next_batch_id:
             return
