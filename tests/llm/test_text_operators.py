@@ -119,6 +119,7 @@ def test_near_duplicates_by_brute_force(odd, unit):
 
 
 def test_distinct_documents_keep_one_of_each_group(odd):
+    odd = odd.withColumns({"kept_id": F.lit(1), "kept_fp": F.lit(2), "component_id": F.lit(3)})
     kept = simhash_trie.distinct_documents(odd)
     assert kept.columns == odd.columns
     groups = {f: c for _, f, c in classes([(i, fingerprint(t)) for i, t, _ in corpus.odd_rows()], 4)}
@@ -127,6 +128,17 @@ def test_distinct_documents_keep_one_of_each_group(odd):
     assert [i for i in ids if i is not None] == sorted({c for c in groups.values() if c is not None}, key=str)
 
 
+def test_groups_without_ids_keep_one_row_each(spark):
+    base = " ".join(f"w{i}" for i in range(300))
+    apart = lambda t: (fingerprint(base) ^ fingerprint(t)).bit_count()
+    near = next(t for t in (f"{base} tail{k}" for k in range(500)) if 1 <= apart(t) <= 4)
+    texts = [base, base, near, "another text", "another text", "a third"]
+    docs = corpus.documents(spark, [(None, t, "s") for t in texts])
+    kept = simhash_trie.distinct_documents(docs).collect()
+    assert sorted(r.text in (base, near) for r in kept) == [False, False, True]
+    assert {r.text for r in kept} - {base, near} == {"another text", "a third"}
+
+
 @pytest.mark.parametrize("distance", [0, 1, 4, 7])
 def test_trie_finds_all_close_pairs(distance):
     rng = np.random.default_rng(distance)
@@ -360,7 +372,7 @@ def water_level(sizes, weights=(5, 2, 1), cap=3):
 
 
 def test_mix_meets_targets(odd):
-    docs = odd.drop("mix")
+    docs = odd.withColumn("mix_cut", F.lit(1)).withColumn("mix_epoch", F.lit(2))
     got = es_mix.mixed(docs, es_mix.quality_weight()).select("doc_id", "source", "text", "mix").collect()
     assert len(got) == docs.count()
     sizes, taken, largest = Counter(), Counter(), Counter()

@@ -33,6 +33,14 @@ def remainder(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(modulus))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as Parquet in the shared folder: a cut lineage that survives lost executors."""
     spark = df.sparkSession

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import n_words, text_of, written
+from tidemark.llm.common import n_words, text_of, unused, written
 
 #: Weights of the sources in code-point order, repeated.
 WEIGHTS = (5, 2, 1)
@@ -146,16 +146,25 @@ def _key(u: Column, weight: Column) -> list[Column]:
 
 
 def mixed(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1) -> DataFrame:
-    """``docs`` with ``mix`` (struct of source_size, target, copies), every row kept.
+    """``docs`` with ``mix`` (struct of size, source_size, target, copies), every row kept.
 
-    ``copies`` is how often the mix takes the document.
+    ``copies`` is how often the mix takes the document. A column ``mix`` of ``docs`` is
+    replaced.
     """
+    found = unused(docs, "mix")
+    rows = _with_mix(docs, weight, weights, seed, found)
+    kept = [F.col(c) for c in docs.columns if c.lower() != "mix"]
+    return rows.select(*kept, F.col(found).alias("mix"))
+
+
+def _with_mix(docs: DataFrame, weight: Column, weights: Sequence[float], seed: int, out: str) -> DataFrame:
     cut = written(cuts(docs, weight, weights, seed), "mix-cuts")
     if cut.count() <= BROADCAST_SOURCES:
         cut = F.broadcast(cut)
-    cut = cut.select(F.struct("*").alias("mix_cut"))
+    named = unused(docs, "mix_cut")
+    cut = cut.select(F.struct("*").alias(named))
     key, block, u = _key(uniform(seed), weight)  # the same expressions as in cuts()
-    c = lambda name: F.col(f"mix_cut.{name}")
+    c = lambda name: F.col(f"{named}.{name}")
     size = n_words()
     selected = F.coalesce(
         (size > 0) & ((block < c("edge")) | ((block == c("edge")) & ((key < c("last_key")) | ((key == c("last_key")) & (u <= c("last_u")))))),
@@ -169,16 +178,13 @@ def mixed(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, s
             c("source_size").alias("source_size"),
             c("target").alias("target"),
             (c("epochs") + selected.cast("long")).alias("copies"),
-        ).alias("mix"),
+        ).alias(out),
     )
 
 
 def sampled(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1) -> DataFrame:
     """The mix itself: the columns of ``docs``, each document repeated as often as it is taken."""
-    names = docs.columns
-    return (
-        mixed(docs, weight, weights, seed)
-        .where("mix.copies > 0")
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(1), F.col("mix.copies"))))
-        .select(*names)
-    )
+    found, epoch = unused(docs, "mix"), unused(docs, "mix_epoch")
+    rows = _with_mix(docs, weight, weights, seed, found).where(F.col(f"{found}.copies") > 0)
+    each = F.explode(F.sequence(F.lit(1), F.col(f"{found}.copies")))
+    return rows.select(*docs.columns, each.alias(epoch)).select(*docs.columns)

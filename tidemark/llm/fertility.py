@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import python_workers
+from tidemark.llm.common import python_workers, unused
 
 WINDOW, MIN_WORDS, MAX_REPEATED = 5, 10, 0.20
 ENTROPY_BITS = 6.0
@@ -232,14 +232,18 @@ def kept(m: Column) -> Column:
 
 
 def measured(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str) -> DataFrame:
-    """``docs`` with a struct ``fertility``: the measures, ``base_failed`` and ``kept``."""
+    """``docs`` with a struct ``fertility``: the measures, ``base_failed`` and ``kept``.
+
+    A column ``fertility`` of ``docs`` is replaced.
+    """
     python_workers(docs.sparkSession)
     measure = measures(ranks_path, pattern, pieces_path)
-    found = docs.select(*docs.columns, measure(F.col("text").cast("binary")).alias("fertility_measures"))
-    m = F.col("fertility_measures")
+    name = unused(docs, "measures")
+    found = docs.select(*docs.columns, measure(F.col("text").cast("binary")).alias(name))
+    m = F.col(name)
     verdict = F.struct(
         *[m[f.name].alias(f.name) for f in MEASURES],
         base_failed(m).alias("base_failed"),
         kept(m).alias("kept"),
     )
-    return found.select(*docs.columns, verdict.alias("fertility"))
+    return found.select(*[c for c in docs.columns if c.lower() != "fertility"], verdict.alias("fertility"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import python_workers, written
+from tidemark.llm.common import python_workers, unused, written
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Leaves of a unit's side, leaves compared directly, and comparisons made at once.
@@ -256,14 +256,19 @@ def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int =
     Of rows that repeat that id, one stays; in a group without any id, one row stays.
     """
     found = near_duplicates(docs, shingle, distance)
-    kept = found.where("doc_id = component_id OR component_id IS NULL").select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct()
-    kept = written(kept, "simhash-kept")
-    ids = docs.join(kept.where("kept_id IS NOT NULL").select("kept_id").distinct(), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    first = ids.dropDuplicates(["doc_id"])
-    nameless = kept.where("kept_id IS NULL").select("kept_fp")
+    kept_id, kept_fp, own_fp = (unused(docs, name) for name in ("kept_id", "kept_fp", "own_fp"))
+    named = F.col("doc_id").isNotNull()
+    kept = found.where((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull())
+    kept = written(kept.select("doc_id", "fp", "component_id").distinct(), "simhash-kept")
+    ids = kept.where(named).select(F.col("doc_id").alias(kept_id)).distinct()
+    first = docs.join(ids, F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id"])
+    nameless = kept.where(F.col("component_id").isNull()).select(F.col("fp").alias(kept_fp), F.col("fp").alias("node"))
     if nameless.isEmpty():
         return first
-    print_of = fingerprints(shingle)(F.col("text").cast("binary"))
-    alone = docs.where("doc_id IS NULL").withColumn("kept_print", print_of)
-    alone = alone.join(nameless, F.col("kept_print") == F.col("kept_fp"), "left_semi").dropDuplicates(["kept_print"])
+    # Of the fingerprints of a group without ids, the smallest stands for it.
+    groups = components(written(links(nameless.select(F.col("node").alias("fp")), distance), "simhash-nameless"))
+    later = groups.where("node != root").select("node")
+    nameless = nameless.join(later, "node", "left_anti").select(kept_fp)
+    alone = docs.where(~named).withColumn(own_fp, fingerprints(shingle)(F.col("text").cast("binary")))
+    alone = alone.join(nameless, F.col(own_fp) == F.col(kept_fp), "left_semi").dropDuplicates([own_fp])
     return first.unionByName(alone.select(*docs.columns))
