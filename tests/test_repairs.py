@@ -4,6 +4,7 @@ import json
 import random
 import threading
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,52 @@ def test_ids_may_be_texts(spark):
     raw = spark.createDataFrame([(json.dumps(e),) for e in events] + [("{",)], "value string")
     got = consumer.parse_events(raw, EVENT).select("id", "data.id", "poison").collect()
     assert [tuple(r) for r in got] == [(7, 7, None), (7, 7, None), (None, 7, "malformed"), (None, None, "malformed")]
+
+
+def test_a_folded_ledger_says_the_same(spark, work, monkeypatch):
+    monkeypatch.setattr(st, "FOLD_EVERY", 10_000)
+    store = fresh(spark, work)
+    source = Table(spark, ROWS)
+    replicate.run_backfill(store, source, chunk_rows=15)
+    for n in range(25):
+        store.set_status(st.INCREMENTAL, st.RUNNING if n % 2 else st.IDLE)
+    rows = sorted(map(str, store.ledger().collect()))
+    progress = store.progress(st.BACKFILL)
+    files = len(store.ledger().inputFiles())
+    store.fold()
+    assert sorted(map(str, store.ledger().collect())) == rows and len(store.ledger().inputFiles()) == 1 < files
+    other = st.Store(spark, store.root)  # another process reads the fold and the tail
+    other.set_status(st.INCREMENTAL, st.IDLE)
+    assert len(store.ledger().inputFiles()) == 2 and replace(store.progress(st.BACKFILL), newest_micros=0) == replace(progress, newest_micros=0)
+    source.rows.append(record(500))
+    replicate.run_backfill(other, source, chunk_rows=15)
+    other.fold()
+    store.fold()
+    assert len(store.ledger().inputFiles()) == 1 and documents(store) == documents(other)
+    assert store.commits().where("mode = 'backfill'").count() == 4
+
+
+def test_writers_fold_by_themselves(spark, work, monkeypatch):
+    monkeypatch.setattr(st, "FOLD_EVERY", 4)
+    store = fresh(spark, work)
+    for _ in range(9):
+        store.set_status(st.BACKFILL, st.IDLE)
+    assert store.ledger().count() == 11 and len(store.ledger().inputFiles()) <= 5
+
+
+def test_batches_are_ordered_by_the_ledger_not_by_clocks(spark, work, monkeypatch):
+    store = fresh(spark, work)
+    with monkeypatch.context() as patch:
+        patch.setattr(st, "now_micros", lambda: 9_000_000_000_000_000)  # a host whose clock runs ahead
+        replicate.run_backfill(store, Table(spark, [record(1, amount="1")]))
+    # A repair with an unchanged version, planned by a host with the right time.
+    replicate.write_batch(store, store.plan(store.progress(st.REPLAY), st.REPLAY, 1), table(spark, [record(1, amount="2")]))
+    assert [d[2] for d in documents(store)] == [2.0]
+
+
+def test_lookback_finds_rows_that_commit_late(spark, work):
+    store, source = fresh(spark, work), Table(spark, [record(1, updated=100.0), record(2, updated=200.0)])
+    assert replicate.run_incremental(store, source)
+    source.rows += [record(3, updated=199.0), record(4, updated=300.0)]  # 3 was committed late
+    assert replicate.run_incremental(store, source, lookback_micros=10_000_000)
+    assert [d[0] for d in documents(store)] == [1, 2, 3, 4]

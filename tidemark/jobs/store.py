@@ -6,6 +6,7 @@ Layout below ``root``, all plain parquet::
     dead_letters/mode=M/batch_id=N/attempt=A/  failures and replay outcomes
     snapshots/<id>/                            state, bucketed and sorted by id
     ledger/writer=<uuid>/                      one small file per step
+    ledger/writer=fold-<time>-<uuid>/          all rows of the files before it, as one file
 
 A batch is written once, as changes; the state, the event stream and the dead letters are
 all read from that one copy. Every write goes to a folder of its own, so a retry or the
@@ -49,10 +50,19 @@ STATE_ORDER = ("version", "updated_at", "batch_seq")
 STATE_COLUMNS = [c for c in CHANGE.names if c not in ("op", "reject_reason", "emitted_at")]
 
 
+# Steps of a writer after which it folds the ledger, and the names of folds.
+FOLD_EVERY = 200
+FOLD = "writer=fold-"
+
+
 def now_micros() -> int:
     return time.time_ns() // 1000
 
 
+def _in_ledger(file: str) -> str:
+    return file.rsplit("/ledger/", 1)[-1]
+
+
 # Aggregates over the ledger rows of a mode, as SQL text: they run once per batch, and
 # one text is quicker to build than a tree of columns.
 STANDING = {
@@ -137,12 +147,13 @@ class Progress:
     cursor: tuple[int | None, int]
     next_batch_id: int
     open: Batch | None
+    newest_micros: int = 0
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = pin_utc(spark), root.rstrip("/")
-        self._id = uuid.uuid4().hex
+        self._id, self._appended, self._covered = uuid.uuid4().hex, 0, ("", frozenset())
 
     @classmethod
     def create(cls, spark: SparkSession, root: str) -> Store:
@@ -158,6 +169,9 @@ class Store:
         cells = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(LEDGER))
         one = self.spark.range(1, numPartitions=1).select(F.inline(cells))
         one.write.mode("append").parquet(self._ledger_folder())
+        self._appended += 1
+        if self._appended % FOLD_EVERY == 0:
+            self.fold()
 
     def _ledger_folder(self) -> str:
         # Two jobs must not append to one folder at a time: the first to finish would
@@ -171,9 +185,39 @@ class Store:
         one.write.mode("append").parquet(self._ledger_folder())
         return count.get["n"] > 0
 
+    def _ledger_files(self) -> list[str]:
+        """The newest fold and the files it does not hold."""
+        files = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger").inputFiles()
+        folds = [f for f in files if FOLD in f]
+        if not folds:
+            return files
+        newest = max(folds, key=_in_ledger)
+        if self._covered[0] != newest:
+            names = self.spark.read.schema("folded string").parquet(newest)
+            held = names.where("folded IS NOT NULL").collect()
+            self._covered = newest, frozenset(r["folded"] for r in held)
+        return [newest, *(f for f in files if FOLD not in f and _in_ledger(f) not in self._covered[1])]
+
     def ledger(self) -> DataFrame:
         """A few rows per batch, whatever the size of the batches."""
-        return self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger").select(*LEDGER.names)
+        rows = self.spark.read.schema(LEDGER).parquet(*self._ledger_files())
+        return rows.select(*LEDGER.names).where(F.col("kind").isNotNull())
+
+    def fold(self) -> None:
+        """Write the ledger so far as one file, so that readers open that and the tail.
+
+        The file names the files its rows come from and becomes visible at once; what it
+        holds is left in place for readers under way. Two folds at a time do no harm:
+        either is whole.
+        """
+        files = self._ledger_files()
+        whole = T.StructType([*LEDGER.fields, T.StructField("folded", T.StringType())])
+        rows = self.spark.read.schema(whole).parquet(*files).select(*whole.names)
+        # One row per file, without a kind: files without rows are held as well.
+        held = self.spark.createDataFrame([(_in_ledger(f),) for f in files if FOLD not in f], "folded string")
+        rows = rows.unionByName(held, allowMissingColumns=True)
+        folder = f"{self.root}/ledger/{FOLD}{now_micros():017d}-{uuid.uuid4().hex}"
+        rows.repartition(1).write.parquet(folder)
 
     def commits(self) -> DataFrame:
         return first_commits(self.ledger())
@@ -183,19 +227,21 @@ class Store:
 
     def progress(self, mode: str) -> Progress:
         """Where a mode stands, from one read of the ledger."""
+        ledger = self.ledger()
+        newest = ledger.agg(F.max("at_micros")).scalar()  # of all modes: a clock that never runs back
         top = f"coalesce(max(batch_id) FILTER (WHERE kind = '{COMMIT}'), 0L)"
         plan = f"max(struct({', '.join(PLANNED)})) FILTER (WHERE kind = '{PLAN}')"
         row = (
-            settled(self.ledger().where(F.col("mode") == mode))
+            settled(ledger.where(F.col("mode") == mode))
             .agg(*_standing(), F.expr(top).alias("top"), F.expr(plan).alias("plan"))
-            .withColumn("status", F.expr(STATUS_RULE))
+            .withColumns({"status": F.expr(STATUS_RULE), "newest": newest})
             .first()
         )
         mark, plan, top = row["_mark"], row["plan"], row["top"]
         # Batches of a mode commit in order, so only the last plan can be open.
         open_ = Batch(mode=mode, **plan.asDict()) if plan and plan["batch_id"] > top else None
         cursor = (mark["hi_micros"], mark["hi_id"]) if mark else (None, 0)
-        return Progress(row["status"], cursor, top + 1, open_)
+        return Progress(row["status"], cursor, top + 1, open_, row["newest"] or 0)
 
     def _status_row(self, mode: str, status: str, actor: str = WORKER) -> dict:
         return {"mode": mode, "kind": STATUS, "status": status, "actor": actor, "at_micros": now_micros()}
@@ -222,7 +268,9 @@ class Store:
         if open_ is not None and open_.batch_id == batch_id:
             batch = replace(open_, attempt=open_.attempt + 1)
         else:
-            batch = Batch(mode, batch_id, 1, now_micros(), **bounds)
+            # After everything in the ledger, whatever the clocks of its writers said.
+            at = max(now_micros(), progress.newest_micros + 1)
+            batch = Batch(mode, batch_id, 1, at, **bounds)
         report = [] if progress.status == RUNNING else [self._status_row(mode, RUNNING)]
         self.append_ledger({**vars(batch), "kind": PLAN}, *report)
         return batch
