@@ -452,8 +452,8 @@ SELECT id, left(concat('mapper: ', repeat(email, 80)), 2000) AS error,
     AS words
 FROM rec""",
     "scalar_json": """
-SELECT id, CAST(json_object('id', id, 'external_id', external_id, 'version', version, 'status', status)
-                AS VARCHAR) AS json, external_id, version
+SELECT id, CAST(json_object('id', id, 'external_id', external_id, 'version', version, 'status', status,
+                            'updated_at', strftime(updated_at, '%Y-%m-%dT%H:%M:%S.%gZ')) AS VARCHAR) AS json, external_id, version
 FROM rec""",
     "scalar_array": """
 SELECT id, CAST(len(t) AS BIGINT) AS n_tags, concat('{', array_to_string(t, ','), '}') AS literal,

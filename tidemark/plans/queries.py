@@ -563,7 +563,8 @@ def scalar_text(t):
 
 @query
 def scalar_json(t):
-    text = F.to_json(F.struct("id", "external_id", "version", "status"))
+    to_millis = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"}
+    text = F.to_json(F.struct("id", "external_id", "version", "status", "updated_at"), to_millis)
     rows = t.rec().select("id", text.alias("json"))
     back = F.from_json("json", "id long, external_id string, version int, status string")
     return rows.withColumn("_b", back).select(

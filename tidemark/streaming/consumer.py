@@ -20,8 +20,6 @@ from tidemark.session import keep_state_on_disk
 
 # Fixed value: how long a change is remembered after its first delivery.
 TTL = "24 hours"
-# Ways the first dedupe splits a change that is redelivered very often.
-SALTS = 8
 COUNTERS = T.StructType(
     [
         T.StructField("dimension", T.StringType()),
@@ -92,13 +90,15 @@ def parse_events(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     return parsed.select("value", *[F.col("_e")[f].alias(f) for f in schema.names], poison.alias("poison"))
 
 
-def dedupe_stream(events: DataFrame, ttl: str = TTL, salts: int = SALTS) -> DataFrame:
+def dedupe_stream(events: DataFrame, ttl: str = TTL, salts: int | None = None) -> DataFrame:
     """First delivery of each ``(id, version)``; later ones within ``ttl`` are dropped.
 
     The clock is arrival, not event time: a delivery is never late, so none is lost. One
     change may make up a large share of all deliveries; a first pass per ``(key, salt)``
-    spreads them over ``salts`` tasks and lets at most that many reach the second.
+    spreads them over ``salts`` tasks (all shuffle partitions, unless given) and lets at most
+    that many reach the second. A change delivered a few times costs a state row per delivery.
     """
+    salts = salts or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     arrived = events.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", ttl)
     if salts > 1:
         # A seeded draw over file rows: a task that runs again draws the same salts.
@@ -108,7 +108,7 @@ def dedupe_stream(events: DataFrame, ttl: str = TTL, salts: int = SALTS) -> Data
 
 
 def count_unique(
-    events: DataFrame, out: str, every: str | None = None, salts: int = SALTS
+    events: DataFrame, out: str, every: str | None = None, salts: int | None = None
 ) -> StreamingQuery:
     """Counters over unique changes: total, by status, by country, by op."""
     slim = events.select(
@@ -155,7 +155,10 @@ def counters(spark: SparkSession, out: str) -> DataFrame:
 
 
 def totals(spark: SparkSession, out: str) -> DataFrame:
-    """Processed, skipped and poison events so far, as one row."""
+    """Processed, skipped and poison events so far, as one row.
+
+    Two queries feed it; what is skipped is exact once both have passed the same deliveries.
+    """
     intake = spark.read.schema(INTAKE).parquet(f"{out}/intake")
     unique = counters(spark, out).where(F.col("dimension") == "total")
     parts = intake.select("valid", "poison", F.lit(0).cast("long").alias("n")).unionByName(
