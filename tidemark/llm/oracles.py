@@ -1,5 +1,9 @@
 """DuckDB twins of the operators that SQL can express."""
 
+from __future__ import annotations
+
+from tidemark.llm.url_trust import LINK
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_chat_formatting"] = r"""
@@ -64,3 +68,57 @@ FROM ordered
 
 _PATTERN = r"([<\[])(/INST\]|/s>|INST\]|s>|\|assistant\|>|\|end\|>|\|endoftext\|>|\|im_end\|>|\|im_start\|>|\|line\|>|\|system\|>|\|turn\|>|\|user\|>|<SYS>>|</SYS>>)"
 ORACLES["op2_chat_formatting"] = ORACLES["op2_chat_formatting"].replace("{pattern}", _PATTERN)
+
+ORACLES["op1_url_filters"] = r"""
+WITH RECURSIVE parsed AS (
+  SELECT page_id, html, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), located AS (
+  SELECT page_id, html, regexp_extract(rest, '^[^/?#]*') AS raw,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM parsed
+), hosted AS (
+  SELECT page_id, html, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM located
+), rules(said, rule_host, rule_path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), judged AS (
+  SELECT h.*, (SELECT max({'n': length(rule_host || rule_path), 'rule': rule_host || rule_path, 'said': said}) FROM rules
+    WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS fit
+  FROM hosted h
+), hosts AS (
+  SELECT host, count(*) AS n, count(*) FILTER (fit.said = 'allow') AS allowed, count(*) FILTER (fit.said = 'block') AS blocked
+  FROM judged WHERE host <> '' GROUP BY host
+), seeds AS (
+  SELECT CASE WHEN 2 * allowed > n THEN 'trust' ELSE 'distrust' END AS kind, host FROM hosts WHERE 2 * allowed > n OR 2 * blocked > n
+), edges AS (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT DISTINCT page_id, host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+    FROM judged WHERE host <> '') WHERE src <> dst AND dst <> '' GROUP BY src, dst
+), directed AS (
+  SELECT 'trust' AS kind, src, dst, n FROM edges UNION ALL SELECT 'distrust', dst, src, n FROM edges
+), step AS (
+  SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM directed
+), state(round, kind, host, rank) AS (
+  SELECT 0, kind, host, 1 - 0.85::DOUBLE FROM seeds
+  UNION ALL
+  SELECT round, kind, host, sum(rank) FROM (
+    SELECT s.round + 1 AS round, s.kind, t.dst AS host, share * rank * 0.85::DOUBLE AS rank
+    FROM state s JOIN step t ON s.kind = t.kind AND s.host = t.src
+    UNION ALL SELECT r.round + 1, seeds.kind, seeds.host, 1 - 0.85::DOUBLE FROM (SELECT DISTINCT round FROM state) r, seeds
+  ) WHERE round <= 20 GROUP BY round, kind, host
+), ranks AS (
+  SELECT kind, host, rank / sum(rank) OVER (PARTITION BY kind) AS share FROM state WHERE round = 20
+), everyone AS (
+  SELECT host FROM hosts UNION SELECT dst FROM edges
+), verdicts AS (
+  SELECT e.host, round(coalesce(t.share, 0), 12) AS trust, round(coalesce(d.share, 0), 12) AS distrust,
+    (SELECT count(*) FROM everyone) AS n
+  FROM everyone e LEFT JOIN ranks t ON t.host = e.host AND t.kind = 'trust' LEFT JOIN ranks d ON d.host = e.host AND d.kind = 'distrust'
+)
+SELECT page_id, j.host, path, fit.rule AS rule,
+  coalesce(fit.said, CASE WHEN distrust * n >= 0.5 AND distrust >= 0.5 * (trust + distrust) AND distrust > 0 THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(trust, 0.0::DOUBLE) AS trust, coalesce(distrust, 0.0::DOUBLE) AS distrust
+FROM judged j LEFT JOIN verdicts v ON v.host = j.host
+""".replace("{link}", LINK.replace("'", "''"))
