@@ -324,13 +324,14 @@ def count_bigrams(texts: DataFrame, words: Vocabulary, side_bits: int) -> Model:
         w, before = _counted(w)
         totals = [len(pairs), *_levels(counts)]
         yield pa.RecordBatch.from_pydict(
-            {"part": [row, rows + column, -1], "blob": [_pack(of_v[0], *of_v[1:]), _pack(w, before), _pack(np.array(totals))]}, _PACKED
+            {"part": [row, rows + column], "blob": [_pack(of_v[0], *of_v[1:]), _pack(w, before)], "totals": [totals, None]}, margin_schema
         )
 
+    margin_schema = pa.schema([*_PACKED, ("totals", pa.list_(pa.int64()))])
     packed = _by_part(texts.mapInArrow(pack, "part int, blob binary"))
-    margins = written(packed.mapInArrow(_merging(merge), "part int, blob binary"), "kn-margins")
-    totals = np.sum([_unpack(bytes(r.blob))[0].astype(np.int64) for r in margins.where("part = -1").collect()] or [np.zeros(5, np.int64)], axis=0)
-    d = discounts(totals[1:].tolist())
+    margins = written(packed.mapInArrow(_merging(merge), "part int, blob binary, totals array<long>"), "kn-margins")
+    totals = [x or 0 for x in margins.agg(*[F.sum(F.col("totals")[k]) for k in range(5)]).first()]
+    d = discounts(totals[1:])
 
     def margin(part, blobs):
         parts = list(zip(*map(_unpack, blobs)))
@@ -352,7 +353,7 @@ def count_bigrams(texts: DataFrame, words: Vocabulary, side_bits: int) -> Model:
         yield pa.RecordBatch.from_pydict({"part": [part], "levels": [levels]}, level_schema)
 
     level_schema = pa.schema([("part", pa.int32()), ("levels", pa.list_(pa.int64()))])
-    done = written(_by_part(margins.where("part >= 0")).mapInArrow(_merging(margin), "part int, levels array<long>"), "kn-levels")
+    done = written(_by_part(margins.select("part", "blob")).mapInArrow(_merging(margin), "part int, levels array<long>"), "kn-levels")
     found = {r.part: r.levels for r in done.collect()}  # a row per row and column of the grid
     levels = np.sum([x for p, x in found.items() if p >= rows] or [[0] * 6], axis=0)
     for p in set(range(rows)) - set(found):
