@@ -14,6 +14,7 @@ from test_jobs import ROWS, Boom, Table, documents, fresh, letters, unique_event
 from tidemark.jobs import replicate
 from tidemark.jobs import store as st
 from tidemark.operators import deadletter, routing
+from tidemark.plans.queries import QUERIES
 from tidemark.schemas import EVENT, RECORD
 from tidemark.sources import numbered
 from tidemark.sources.numbering import id_buckets, range_plan
@@ -214,3 +215,14 @@ def test_lookback_finds_rows_that_commit_late(spark, work):
     source.rows += [record(3, updated=199.0), record(4, updated=300.0)]  # 3 was committed late
     assert replicate.run_incremental(store, source, lookback_micros=10_000_000)
     assert [d[0] for d in documents(store)] == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("name", ["q_keyset_page", "q_watermark_page", "q_row_compare", "q_incremental_range"])
+def test_cursors_reach_the_scan(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThan" in pushed[: pushed.index("]")]

@@ -15,7 +15,7 @@ from tidemark.jobs import store as st
 from tidemark.operators import deadletter, mutate
 from tidemark.operators.change import MAPPING_ERROR, rejected, judged
 from tidemark.schemas import LEDGER, RECORD
-from tidemark.session import pin_utc
+from tidemark.session import pin_utc, shared_dir
 from tidemark.sources import numbered, page_plan
 
 # Fixed values shared with the SQL side.
@@ -81,6 +81,12 @@ class Inputs:
             )
         )
 
+    def stored(self) -> DataFrame:
+        """The rows as a table of files, so that cursors reach the scan as pushed filters."""
+        rows, path = self.rec(), shared_dir(self.spark, "rec")
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def records(self) -> DataFrame:
         """``rec`` in the library's record schema, as the jobs read it."""
         rec = self.rec().withColumn("tags", parse_tags(F.col("tags_literal")))

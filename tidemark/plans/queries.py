@@ -59,23 +59,23 @@ def _hit_columns(docs: DataFrame) -> DataFrame:
 
 @query
 def keyset_page_(t):
-    return keyset_page(t.rec(), 1000, PAGE_ROWS).select("id", "version", "status", "amount")
+    return keyset_page(t.stored(), 1000, PAGE_ROWS).select("id", "version", "status", "amount")
 
 
 @query
 def watermark_page_(t):
-    return watermark_page(t.rec(), CURSOR, PAGE_ROWS).select("id", "version", "updated_at")
+    return watermark_page(t.stored(), CURSOR, PAGE_ROWS).select("id", "version", "updated_at")
 
 
 @query
 def row_compare(t):
-    rec = t.rec()
+    rec = t.stored()
     return rec.where(after_cursor(rec, WATERMARK, CURSOR)).select("id", "updated_at")
 
 
 @query
 def incremental_range(t):
-    rec = t.rec()
+    rec = t.stored()
     hi = high_water(rec)
     rows = bounded_range(rec, CURSOR, (hi["micros"], hi["id"]))
     return rows.select("id", "version", "status", "updated_at", change.op_kind().alias("op"))
