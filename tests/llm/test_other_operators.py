@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import multi_index, prefix_targets, url_trust
+from tidemark.llm.oracles import ORACLES
 from tidemark.llm.queries import QUERIES
 
 # Url trust -------------------------------------------------------------------------------
@@ -81,6 +82,29 @@ def test_trust_flows_along_links_and_distrust_against_them(spark, monkeypatch):
                         "mixed.org": "block", "alone.org": "allow", "only.org": "allow"}
 
 
+def test_the_sql_twin_on_a_graph(spark):
+    import duckdb
+
+    rng = np.random.default_rng(3)
+    hosts = [f"h{i}.{t}" for i in range(12) for t in ("com", "net", "org")]
+    rows = []
+    for i in range(150):
+        to = rng.choice(hosts, 3)
+        rows.append((f"http://{rng.choice(hosts)}/{rng.choice(['en', 'es', 'fr'])}/{i}", "".join(f'<a href="http://{h}/x">' for h in to)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [(i, u, h) for i, (u, h) in enumerate(rows)])
+    cur = con.execute(ORACLES["op1_url_filters"])
+    names = [d[0] for d in cur.description]
+    want = {r["page_id"]: r for r in (dict(zip(names, x)) for x in cur.fetchall())}
+    got = url_trust.filtered(pages(spark, rows)).collect()
+    assert len(got) == len(want) == 150
+    for r in got:
+        w = want[r.page_id]
+        assert (r.host, r.path, r.rule, r.verdict) == (w["host"], w["path"], w["rule"], w["verdict"])
+        assert r.trust == pytest.approx(w["trust"], abs=1e-6) and r.distrust == pytest.approx(w["distrust"], abs=1e-6)
+
+
 def test_no_pages(spark):
     assert url_trust.filtered(pages(spark, [])).count() == 0
 
