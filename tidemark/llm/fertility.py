@@ -50,7 +50,7 @@ RANGES = (
 SCRIPTS = tuple(BANDS)
 SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
 #: Words a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 MEASURES = pa.struct(
