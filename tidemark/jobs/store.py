@@ -95,7 +95,7 @@ def first_commits(ledger: DataFrame) -> DataFrame:
 
 def settled(ledger: DataFrame) -> DataFrame:
     """The ledger with one commit per batch."""
-    return ledger.where(F.col("kind") != COMMIT).unionByName(first_commits(ledger))
+    return ledger.where(~F.col("kind").eqNullSafe(COMMIT)).unionByName(first_commits(ledger))
 
 
 def checkpoints(ledger: DataFrame) -> DataFrame:
@@ -227,14 +227,14 @@ class Store:
 
     def progress(self, mode: str) -> Progress:
         """Where a mode stands, from one read of the ledger."""
-        ledger = self.ledger()
-        newest = ledger.agg(F.max("at_micros")).scalar()  # of all modes: a clock that never runs back
+        # Rows of other modes only tell the time: a clock that never runs back.
+        ledger = self.ledger().withColumn("kind", F.when(F.col("mode") == mode, F.col("kind")))
         top = f"coalesce(max(batch_id) FILTER (WHERE kind = '{COMMIT}'), 0L)"
         plan = f"max(struct({', '.join(PLANNED)})) FILTER (WHERE kind = '{PLAN}')"
         row = (
-            settled(ledger.where(F.col("mode") == mode))
-            .agg(*_standing(), F.expr(top).alias("top"), F.expr(plan).alias("plan"))
-            .withColumns({"status": F.expr(STATUS_RULE), "newest": newest})
+            settled(ledger)
+            .agg(*_standing(), F.expr(top).alias("top"), F.expr(plan).alias("plan"), F.max("at_micros").alias("newest"))
+            .withColumn("status", F.expr(STATUS_RULE))
             .first()
         )
         mark, plan, top = row["_mark"], row["plan"], row["top"]
