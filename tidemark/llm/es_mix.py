@@ -79,7 +79,7 @@ def uniform(seed: int) -> Column:
 
 def quality_weight() -> Column:
     """1 for a text without symbols, less the more symbols it has per word."""
-    symbols = F.length(text_of()) - F.length(F.translate(text_of(), SYMBOLS, ""))
+    symbols = F.regexp_count(text_of(), F.lit(f"[{SYMBOLS}]"))
     return F.lit(1.0) / (F.lit(1.0) + F.lit(4.0) * symbols / F.greatest(n_words(), F.lit(1)))
 
 
@@ -89,9 +89,9 @@ def cuts(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, se
     ``docs`` has ``doc_id, text, source`` and whatever ``weight`` needs. A document is
     selected if at least half of it fits into what is left of the budget.
     """
-    u = uniform(seed)
-    keyed = docs.select("source", n_words().alias("size"), *_key(u, weight), "doc_id")
-    keyed = written(keyed.where("size > 0"), "mix-keys")
+    # Written before it is filtered: a filter below would go through the texts once more.
+    keyed = docs.select("source", n_words().alias("size"), *_key(uniform(seed), weight), "doc_id")
+    keyed = written(keyed, "mix-keys").where("size > 0")
     totals = written(keyed.groupBy("source", "block").agg(F.sum("size").alias("size")), "mix-blocks")
     sizes = docs.select("source").distinct().join(
         totals.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("source_size")),
@@ -163,15 +163,17 @@ def _with_mix(docs: DataFrame, weight: Column, weights: Sequence[float], seed: i
         cut = F.broadcast(cut)
     named = unused(docs, "mix_cut")
     cut = cut.select(F.struct("*").alias(named))
-    key, block, u = _key(uniform(seed), weight)  # the same expressions as in cuts()
     c = lambda name: F.col(f"{named}.{name}")
-    size = n_words()
+    # The same expressions as in cuts(), computed once below the join.
+    drawn = [unused(docs, "mix_" + name) for name in ("size", "key", "block", "u")]
+    rows = docs.select("*", *[e.alias(name) for e, name in zip((n_words(), *_key(uniform(seed), weight)), drawn)])
+    size, key, block, u = map(F.col, drawn)
     selected = F.coalesce(
         (size > 0) & ((block < c("edge")) | ((block == c("edge")) & ((key < c("last_key")) | ((key == c("last_key")) & (u <= c("last_u")))))),
         F.lit(False),
     )
     columns = [F.col(x) for x in docs.columns]
-    return docs.join(cut, F.col("source").eqNullSafe(c("source")), "left").select(
+    return rows.join(cut, F.col("source").eqNullSafe(c("source")), "left").select(
         *columns,
         F.struct(
             size.alias("size"),
@@ -185,6 +187,6 @@ def _with_mix(docs: DataFrame, weight: Column, weights: Sequence[float], seed: i
 def sampled(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1) -> DataFrame:
     """The mix itself: the columns of ``docs``, each document repeated as often as it is taken."""
     found, epoch = unused(docs, "mix"), unused(docs, "mix_epoch")
-    rows = _with_mix(docs, weight, weights, seed, found).where(F.col(f"{found}.copies") > 0)
-    each = F.explode(F.sequence(F.lit(1), F.col(f"{found}.copies")))
+    rows = _with_mix(docs, weight, weights, seed, found)
+    each = F.explode(F.array_repeat(F.lit(1), F.col(f"{found}.copies").cast("int")))  # none for 0 copies
     return rows.select(*docs.columns, each.alias(epoch)).select(*docs.columns)
