@@ -195,7 +195,9 @@ class Inputs:
 
     def full_ledger(self) -> DataFrame:
         """Pages, batches and statuses together, in the ledger's schema."""
-        commits = self.ledger().unionByName(self.incremental_ledger(), allowMissingColumns=True)
+        pages = self.ledger().withColumn("batch_id", F.col("page"))
+        batches = self.incremental_ledger().withColumn("batch_id", F.col("hi_micros"))
+        commits = pages.unionByName(batches, allowMissingColumns=True)
         rows = commits.withColumn("kind", F.lit(st.COMMIT)).unionByName(
             self.status_log().withColumn("kind", F.lit(st.STATUS)), allowMissingColumns=True
         )
