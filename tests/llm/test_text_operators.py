@@ -323,6 +323,37 @@ def test_fertility_rejects_gibberish_and_keeps_prose(spark):
     assert got == {1: True, 2: False}
 
 
+PROSE = {
+    "de": "Die Verwaltung hat gestern mitgeteilt, dass die Straßenbahnlinie wegen umfangreicher Bauarbeiten bis zum Ende des Monats nicht verkehren wird.",
+    "fi": "Kaupunginvaltuusto päätti eilen pitkän keskustelun jälkeen, että uuden kirjaston rakentaminen aloitetaan vasta ensi vuoden keväällä.",
+    "pl": "Kiedy autobus wreszcie przyjechał, okazało się, że kierowca nie zna drogi, więc pasażerowie musieli mu tłumaczyć, gdzie ma skręcić.",
+    "vi": "Người lái xe không biết đường nên hành khách phải chỉ cho anh ấy chỗ rẽ, và mọi người đến nơi muộn hơn một giờ so với kế hoạch.",
+    "kk": "Автобус ақыры келгенде, жүргізушінің жолды білмейтіні анықталды, сондықтан жолаушылар оған қай жерде бұрылу керектігін түсіндірді.",
+    "el": "Όταν το λεωφορείο έφτασε επιτέλους, αποδείχθηκε ότι ο οδηγός δεν ήξερε τον δρόμο, κι έτσι οι επιβάτες έπρεπε να του εξηγούν πού να στρίψει.",
+    "fa": "وقتی اتوبوس سرانجام رسید معلوم شد که راننده راه را نمی‌داند و مسافران مجبور شدند به او بگویند کجا باید بپیچد.",
+    "he": "כשהאוטובוס הגיע סוף סוף התברר שהנהג אינו מכיר את הדרך, ולכן הנוסעים נאלצו להסביר לו היכן לפנות ומתי לעצור.",
+    "te": "బస్సు చివరకు వచ్చినప్పుడు డ్రైవర్‌కు దారి తెలియదని తేలింది, కాబట్టి ప్రయాణికులు ఎక్కడ తిరగాలో అతనికి చెప్పాల్సి వచ్చింది.",
+    "ko": "버스가 마침내 도착했을 때 운전사가 길을 모른다는 사실이 밝혀져서 승객들이 어디에서 돌아야 하는지 설명해 주어야 했다.",
+}
+
+
+def test_bands_alone_reject_gibberish_hex_and_loops_but_no_prose(spark):
+    rng = np.random.default_rng(8)
+    drawn = lambda letters, least, most, n=150: " ".join("".join(rng.choice(list(letters), rng.integers(least, most + 1))) for _ in range(n))
+    az = "abcdefghijklmnopqrstuvwxyz"
+    bad = {
+        "letters": drawn(az, 3, 9), "capitals": drawn(az.upper(), 3, 9), "consonants": drawn("bcdfghjklmnpqrstvwxz", 3, 9),
+        "hex": drawn("0123456789abcdef", 8, 32), "short hex": drawn("0123456789abcdef", 4, 4), "cyrillic": drawn("абвгдежзийклмнопрстуфхцчшщыьэюя", 3, 9),
+        "loop": " ".join(rng.choice("the cat sat on a mat and dog ran far but we went home to eat".split(), 300)),
+    }
+    names = [*bad, *PROSE]
+    docs = corpus.documents(spark, [(i, (bad | PROSE)[k], "a") for i, k in enumerate(names)])
+    got = {names[r.doc_id]: r.fertility for r in fertility.measured(docs, RANKS, PATTERN, PIECES).collect()}
+    assert not any(f.base_failed for f in got.values())
+    assert {k for k, f in got.items() if f.kept} == set(PROSE)
+    assert [got[k].script for k in ("de", "pl", "vi", "fi")] == ["latin", "latin extended", "latin extended", "latin"]
+
+
 # BPE -------------------------------------------------------------------------------------
 
 
