@@ -139,6 +139,28 @@ def test_groups_without_ids_keep_one_row_each(spark):
     assert {r.text for r in kept} - {base, near} == {"another text", "a third"}
 
 
+def test_groups_whose_smallest_id_repeats_keep_one_row_each(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcde"}
+    near = next(t for t in (f"{texts['b']} tail{k}" for k in range(500)) if 1 <= (fingerprint(texts["b"]) ^ fingerprint(t)).bit_count() <= 4)
+    rows = [(40, texts["a"]), (40, texts["c"]), (40, texts["c"]), (5, texts["d"]), (5, texts["b"]), (3, near), (None, texts["e"]), (None, texts["a"])]
+    kept = simhash_trie.distinct_documents(corpus.documents(spark, [(i, t, "s") for i, t in rows]).repartition(4)).collect()
+    want = [(40, texts["a"]), (40, texts["c"]), (5, texts["d"]), (3, near), (None, texts["e"])]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
+
+
+def test_distinct_documents_keep_one_row_of_each_root(odd):
+    groups = defaultdict(list)
+    values = sorted({fingerprint(t) for _, t, _ in corpus.odd_rows()})
+    root = {v: v for v in values}
+    for _ in values:  # labels settle long before
+        for a in values:
+            root[a] = min(root[b] for b in values if (a ^ b).bit_count() <= 4)
+    for i, t, _ in corpus.odd_rows():
+        groups[root[fingerprint(t)]].append((i is None, i or 0, fingerprint(t)))
+    got = Counter((r.doc_id, root[fingerprint(r.text)]) for r in simhash_trie.distinct_documents(odd).collect())
+    assert got == Counter((None if min(g)[0] else min(g)[1], k) for k, g in groups.items())
+
+
 @pytest.mark.parametrize("distance", [0, 1, 4, 7])
 def test_trie_finds_all_close_pairs(distance):
     rng = np.random.default_rng(distance)

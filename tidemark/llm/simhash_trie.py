@@ -235,8 +235,9 @@ def components(edges: DataFrame) -> DataFrame:
             return state
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, unit: int = UNIT) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs``."""
+def grouped(docs: DataFrame, shingle: int, distance: int, unit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``doc_id, fp``; and for each fingerprint ``of, first, root, component_id``: the smallest
+    id that has it, the smallest fingerprint of its group, and the smallest id of its group."""
     if not 0 <= distance < 16:
         raise ValueError("distance must be from 0 to 15")
     python_workers(docs.sparkSession)
@@ -246,29 +247,42 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     roots = components(found)
     known = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = written(known.join(smallest, "root").select(F.col("fp").alias("of"), "component_id"), "simhash-components")
+    of = known.join(smallest, "root").select(F.col("fp").alias("of"), "first", "root", "component_id")
+    return rows, written(of, "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, unit: int = UNIT) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row of ``docs``."""
+    rows, of = grouped(docs, shingle, distance, unit)
     return rows.join(of, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
 def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each group: the one with the smallest id.
+    """One document of each group: the one with the smallest id, then the smallest fingerprint.
 
-    Of rows that repeat that id, one stays; in a group without any id, one row stays.
+    A group is known by its smallest fingerprint, so rows that repeat an id with unlike texts
+    stand for themselves. Of rows equal in id and fingerprint, one stays; in a group without
+    any id, one row stays.
     """
-    found = near_duplicates(docs, shingle, distance)
+    rows, of = grouped(docs, shingle, distance, UNIT)
     kept_id, kept_fp, own_fp = (unused(docs, name) for name in ("kept_id", "kept_fp", "own_fp"))
-    named = F.col("doc_id").isNotNull()
-    kept = found.where((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull())
-    kept = written(kept.select("doc_id", "fp", "component_id").distinct(), "simhash-kept")
-    ids = kept.where(named).select(F.col("doc_id").alias(kept_id)).distinct()
-    first = docs.join(ids, F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id"])
-    nameless = kept.where(F.col("component_id").isNull()).select(F.col("fp").alias(kept_fp), F.col("fp").alias("node"))
-    if nameless.isEmpty():
-        return first
-    # Of the fingerprints of a group without ids, the smallest stands for it.
-    groups = components(written(links(nameless.select(F.col("node").alias("fp")), distance), "simhash-nameless"))
-    later = groups.where("node != root").select("node")
-    nameless = nameless.join(later, "node", "left_anti").select(kept_fp)
-    alone = docs.where(~named).withColumn(own_fp, fingerprints(shingle)(F.col("text").cast("binary")))
-    alone = alone.join(nameless, F.col(own_fp) == F.col(kept_fp), "left_semi").dropDuplicates([own_fp])
-    return first.unionByName(alone.select(*docs.columns))
+    kept = of.where(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id").agg(F.min("of").alias(kept_fp))
+    # Only rows without an id, and those whose id has several fingerprints, are told apart by their own.
+    unlike = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    unlike = written(unlike.where("low < high").select("doc_id"), "simhash-unlike")
+    named = kept.where("component_id IS NOT NULL").select(F.col("component_id").alias(kept_id), kept_fp)
+    named = named.join(unlike, F.col(kept_id) == F.col("doc_id"), "left").select(kept_id, kept_fp, F.col("doc_id").isNotNull().alias("several"))
+    named = written(named, "simhash-kept")
+    nameless = written(kept.where("component_id IS NULL").select(kept_fp), "simhash-nameless")
+    out = docs.join(named.where("NOT several").select(kept_id), F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id"])
+    own = fingerprints(shingle)(F.col("text").cast("binary"))
+    if not unlike.isEmpty():
+        several = named.where("several").select(kept_id, kept_fp)
+        some = docs.join(unlike.select(F.col("doc_id").alias(kept_id)), F.col("doc_id") == F.col(kept_id), "left_semi").withColumn(own_fp, own)
+        some = some.join(several, (F.col("doc_id") == F.col(kept_id)) & (F.col(own_fp) == F.col(kept_fp)), "left_semi")
+        out = out.unionByName(some.dropDuplicates(["doc_id", own_fp]).select(*docs.columns))
+    if not nameless.isEmpty():
+        alone = docs.where(F.col("doc_id").isNull()).withColumn(own_fp, own)
+        alone = alone.join(nameless, F.col(own_fp) == F.col(kept_fp), "left_semi")
+        out = out.unionByName(alone.dropDuplicates([own_fp]).select(*docs.columns))
+    return out
