@@ -105,6 +105,27 @@ def test_the_sql_twin_on_a_graph(spark):
         assert r.trust == pytest.approx(w["trust"], abs=1e-6) and r.distrust == pytest.approx(w["distrust"], abs=1e-6)
 
 
+def test_the_query_converges_on_a_cycle_and_a_long_chain(spark, tmp_path):
+    link = lambda h: f'<a href="http://{h}/x">'
+    chain = ["bad.net", *(f"c{i}.org" for i in range(1, 26))]  # each links to the one before it
+    edges = {(b, a): 1 for a, b in zip(chain, chain[1:])} | {("good.com", "r.org"): 1, ("r.org", "s.org"): 1, ("s.org", "good.com"): 1}
+    rows = [(f"http://{a}/de/1", link(b)) for (a, b) in edges] + [("http://bad.net/es/1", "")]
+    pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.host: r for r in QUERIES["op1_url_filters"](spark, str(tmp_path)).collect()}
+    trust = ranks(edges, ["good.com"], 500)
+    distrust = ranks({(b, a): 1 for a, b in edges}, ["bad.net"], 500)
+    for host, r in got.items():
+        assert r.trust == pytest.approx(trust.get(host, 0), abs=1e-5) and r.distrust == pytest.approx(distrust.get(host, 0), abs=1e-5)
+    assert got["c25.org"].distrust > 0 and got["c25.org"].verdict == "allow" and got["c9.org"].verdict == "block"
+
+
+def test_ranks_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(url_trust, "MOST_ROUNDS", 3)
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    with pytest.raises(RuntimeError):
+        url_trust.propagated(edges, spark.createDataFrame([("trust", "a")], "kind string, host string"), converged=True)
+
+
 def test_no_pages(spark):
     assert url_trust.filtered(pages(spark, [])).count() == 0
 

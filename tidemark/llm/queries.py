@@ -17,7 +17,7 @@ KEEP_SCORE = 0.3
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return url_trust.filtered(pages)
+    return url_trust.filtered(pages, converged=True)
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,11 @@ Host edges are counted by page before they are shuffled, so a host with a third
 costs one row per linked host and task. The state of a round is written to the shared
 folder. Relative links stay on their host and make no edge.
 
+With ``converged``, as in the registered query, rounds go on until all ranks together move by
+at most ``TOLERANCE`` of their sum; it is an error if ``MOST_ROUNDS`` do not reach that. The
+SQL twin does 20 rounds. Without ``converged`` it is the same here (``ROUNDS``), with a warning
+if ranks were still moving.
+
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule
 and is allowed, as an empty host has no links. Null html has no links. Repeated rows are
 judged alike. An empty table gives an empty result.
@@ -19,6 +24,7 @@ judged alike. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +42,8 @@ RULES = (
 )
 LINK = r"""(?i)\s(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
 DAMPING, ROUNDS, TOLERANCE = 0.85, 20, 1e-6
+#: Rounds in which ranks must meet the tolerance; 0.85 ** 200 is below 1e-14.
+MOST_ROUNDS = 200
 FLOOR, THRESHOLD = 0.5, 0.5
 
 
@@ -80,7 +88,7 @@ def host_edges(judged: DataFrame) -> DataFrame:
     )
 
 
-def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame, converged: bool = False) -> DataFrame:
     """Trust along the edges and distrust against them: ``kind, host, rank``.
 
     ``seeds`` is ``kind`` (trust or distrust) and ``host``. A host without links passes
@@ -95,7 +103,7 @@ def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     )
     start = written(seeds.select("kind", "host", F.lit(1 - DAMPING).alias("rank")), "trust-seeds")
     state = start
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS if converged else ROUNDS):
         sent = step.join(state.withColumnRenamed("host", "src"), ["kind", "src"]).groupBy("kind", F.col("dst").alias("host"))
         new = start.unionByName(sent.agg((F.sum(F.col("share") * F.col("rank")) * DAMPING).alias("rank")))
         new = written(new.groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "trust-state")
@@ -105,11 +113,14 @@ def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         gap, weight = moved.agg(gap, weight).first()
         state = new
         if (gap or 0.0) <= TOLERANCE * (weight or 0.0):
-            break
+            return state
+    if converged:
+        raise RuntimeError(f"ranks still move after {MOST_ROUNDS} rounds")
+    warnings.warn(f"ranks still move after {ROUNDS} rounds", stacklevel=2)
     return state
 
 
-def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float = FLOOR) -> DataFrame:
+def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float = FLOOR, converged: bool = False) -> DataFrame:
     """``host, trust, distrust, verdict`` of every host with pages or links to it."""
     said = lambda verdict: F.sum((F.coalesce("ruled", F.lit("")) == verdict).cast("long"))
     hosts = written(
@@ -118,7 +129,7 @@ def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float
     )
     kind = F.when(2 * F.col("allow") > F.col("pages"), "trust").when(2 * F.col("block") > F.col("pages"), "distrust")
     edges = written(host_edges(judged), "trust-links")
-    ranks = propagated(edges, hosts.select(kind.alias("kind"), "host").where("kind IS NOT NULL"))
+    ranks = propagated(edges, hosts.select(kind.alias("kind"), "host").where("kind IS NOT NULL"), converged)
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     each = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     everyone = hosts.select("host").union(edges.select("dst")).distinct()
@@ -137,10 +148,10 @@ def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float
     )
 
 
-def filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+def filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, converged: bool = False) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` of every page."""
     judged = ruled(pages, rules)
-    hosts = written(host_verdicts(judged), "trust-verdicts")
+    hosts = written(host_verdicts(judged, converged=converged), "trust-verdicts")
     return judged.drop("html").join(hosts, "host", "left").select(
         "page_id",
         "host",
