@@ -6,13 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_chunks, byte_shards, es_mix, fertility, kneser_ney, multi_index, prefix_targets, quality_gam, simhash_trie, url_trust
-from tidemark.llm.common import load, remainder
+from tidemark.llm import (
+    bpe_chunks, byte_shards, es_mix, fertility, fim_rotation, kneser_ney, multi_index, periodic_runs, prefix_targets,
+    quality_gam, simhash_trie, toxic_cnn, url_trust,
+)
+from tidemark.llm.common import WORD, load, remainder, text_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
-KEEP_SCORE = 0.3
+KEEP_SCORE, TOXIC_SCORE = 0.3, 0.5
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +124,70 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxic_cnn.train(docs, labels.where(remainder("doc_id", 5) != 0))
+    return toxic_cnn.scored(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim_rotation.restored(fim_rotation.transformed(docs)).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` where one id in ten repeats a stretch of its words up to the end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    found = docs.select(
+        "doc_id",
+        text_of().alias("text"),
+        F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0))).alias("words"),
+    )
+    cut = found.selectExpr("*", "cast(g % nullif(size(words), 0) AS int) AS a", "size(words) AS n")
+    period = cut.selectExpr("*", "cast(1 + (n - a) div (3 + g % 8) AS int) AS p")
+    repeated = "array_repeat(slice(words, a + 1, p), cast((n - a) div p + 1 AS int))"
+    planted = f"array_join(slice(concat(slice(words, 1, a), flatten({repeated})), 1, n), ' ')"
+    return period.selectExpr("doc_id", f"CASE WHEN n > 0 THEN {planted} ELSE text END AS text")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs_digests(periodic_runs.collapsed(with_planted_periods(docs)))
+
+
+def runs_digests(made: DataFrame) -> DataFrame:
+    """The run of the greatest exponent, and digests of all runs and of what is kept."""
+    none = "cast(NULL AS struct<start: bigint, length: bigint, period: bigint>)"
+    best = f"aggregate(runs, {none}, (a, r) -> if(a IS NULL OR r.length * a.period > a.length * r.period, r, a)) AS best"
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return made.selectExpr("*", best).selectExpr(
+        "doc_id",
+        "cast(size(runs) AS bigint) AS n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        "1000 * best.length div best.period AS exponent_milli",
+        f"sha2({lines}, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_chat_formatting, op3_quality_classifier, op4_simhash, op5_sharding, op6_lm_scoring, op7_quality_rules, op8_nearest, op9_byte_bpe, op10_mixing,
+    op11_toxicity, op12_fill_in_middle, op13_periodic_runs,
 )}
