@@ -177,17 +177,18 @@ def test_a_folded_ledger_says_the_same(spark, work, monkeypatch):
         store.set_status(st.INCREMENTAL, st.RUNNING if n % 2 else st.IDLE)
     rows = sorted(map(str, store.ledger().collect()))
     progress = store.progress(st.BACKFILL)
-    files = len(store.ledger().inputFiles())
+    held = lambda: [len(store.manifest.newest()[1][part]) for part in ("tail", "ledger")]
+    assert held()[0] > 25
     store.fold()
-    assert sorted(map(str, store.ledger().collect())) == rows and len(store.ledger().inputFiles()) == 1 < files
+    assert sorted(map(str, store.ledger().collect())) == rows and held() == [0, 1] and len(store.ledger().inputFiles()) == 1
     other = st.Store(spark, store.root)  # another process reads the fold and the tail
     other.set_status(st.INCREMENTAL, st.IDLE)
-    assert len(store.ledger().inputFiles()) == 2 and replace(store.progress(st.BACKFILL), newest_micros=0) == replace(progress, newest_micros=0)
+    assert held() == [1, 1] and replace(store.progress(st.BACKFILL), newest_micros=0) == replace(progress, newest_micros=0)
     source.rows.append(record(500))
     replicate.run_backfill(other, source, chunk_rows=15)
     other.fold()
     store.fold()
-    assert len(store.ledger().inputFiles()) == 1 and documents(store) == documents(other)
+    assert held() == [0, 1] and documents(store) == documents(other)
     assert store.commits().where("mode = 'backfill'").count() == 4
 
 

@@ -6,12 +6,17 @@ dies anywhere leaves either a committed batch or one that the next run does agai
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import threading
+import time
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.jobs import store as st
+from tidemark.jobs.manifest import Lost
 from tidemark.jobs.store import Batch, Store
 from tidemark.operators import deadletter
 from tidemark.operators.change import judged, op_kind, rejected
@@ -33,6 +38,8 @@ SEARCH = "search"
 CHUNK_ROWS = 50_000_000
 # Chunks listed on the driver at a time.
 CHUNK_LIST = 1_000
+# Seconds a chunk is claimed at a time, and between looks at chunks that others hold.
+LEASE, LOOK_AGAIN = 600.0, 1.0
 # Shares of a backlog a batch can take: halvings, then steps of a 64th.
 SHARES = sorted({2.0**-k for k in range(7, 31)} | {k / 64 for k in range(1, 64)})
 _MAX_LONG = 2**63 - 1
@@ -86,7 +93,10 @@ def _stats(written: DataFrame) -> dict[str, int]:
 
 
 def plan_chunks(store: Store, records: DataFrame, chunk_rows: int) -> bool:
-    """Append the chunks of all ids beyond the last planned chunk to the ledger."""
+    """Append the chunks of all ids beyond the last planned chunk to the ledger.
+
+    Of runs that plan at the same time the first to append counts.
+    """
     known = store.ledger().where(F.col("kind") == st.CHUNK)
     top = known.agg(F.max("last_id").alias("id"), F.max("batch_id").alias("n")).first()
     last_id, n = top["id"] or 0, top["n"] or 0
@@ -107,7 +117,7 @@ def plan_chunks(store: Store, records: DataFrame, chunk_rows: int) -> bool:
         (F.col(f.name) if f.name in planned else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in LEDGER.fields
     ]
-    return store.append_ledger_table(rows.select(*filled))
+    return store.append_chunks(rows.select(*filled), n)
 
 
 def pending_chunks(chunks: DataFrame, commits: DataFrame, key: str = "batch_id") -> DataFrame:
@@ -122,32 +132,104 @@ def run_backfill(
     sinks: Sequence[Sink] = (),
     max_chunks: int | None = None,
     chunk_source: RangeSource | None = None,
+    in_flight: int = 1,
+    lease: float = LEASE,
 ) -> int:
     """Copy the whole table chunk by chunk; returns the chunks committed by this call.
 
-    Call it again after a crash or a pause, or to pick up rows added since. A relational
-    source should give ``chunk_source`` and partition each chunk's own id range, or only
-    the few partitions of the table that hold the chunk would work.
+    Call it again after a crash or a pause, or to pick up rows added since. Several runs may
+    work on one backfill, and each on ``in_flight`` chunks at a time: a chunk is claimed before
+    it is read. Claims are held ``lease`` seconds at a time; those of a run that died are taken
+    over after that, those of one that failed at once. A relational source should give
+    ``chunk_source`` and partition each chunk's own id range, or only the few partitions of the
+    table that hold the chunk would work.
     """
+
+    def copy(chunk: Batch) -> bool:
+        batch = None if store.paused(st.BACKFILL) else store.claim(chunk, owner, lease)
+        if batch is None:
+            return False
+        rows = chunk_source(batch.lo_id, batch.last_id) if chunk_source else source()
+        in_chunk = after_cursor(rows, ["id"], [batch.lo_id]) & (F.col("id") <= batch.last_id)
+        write_batch(store, batch, rows.where(in_chunk), sinks)
+        return True
+
     done = 0
-    while True:
-        todo = _todo(store)
-        if not todo and not plan_chunks(store, source(), chunk_rows):
-            if store.progress(st.BACKFILL).status != st.COMPLETED:
-                store.set_status(st.BACKFILL, st.COMPLETED)
-            return done
-        for chunk in todo or _todo(store):
-            progress = store.progress(st.BACKFILL)
-            if done == max_chunks or progress.status == st.PAUSED:
+    with _claims(store, lease) as owner:
+        while not store.paused(st.BACKFILL):
+            todo = _todo(store)
+            if not todo and not plan_chunks(store, source(), chunk_rows):
+                if store.progress(st.BACKFILL).status != st.COMPLETED:
+                    store.set_status(st.BACKFILL, st.COMPLETED)
                 return done
-            batch = store.plan(progress, st.BACKFILL, **chunk.asDict())
-            rows = chunk_source(batch.lo_id, batch.last_id) if chunk_source else source()
-            in_chunk = after_cursor(rows, ["id"], [batch.lo_id]) & (F.col("id") <= batch.last_id)
-            write_batch(store, batch, rows.where(in_chunk), sinks)
-            done += 1
+            chunks = [Batch(st.BACKFILL, c["batch_id"], 0, 0, c["lo_id"], c["last_id"]) for c in todo]
+            n = _work_off(iter(chunks), copy, in_flight, None if max_chunks is None else max_chunks - done)
+            done += n
+            if done == max_chunks:
+                break
+            if todo and not n:
+                time.sleep(min(lease / 10, LOOK_AGAIN))  # all that is left is others'
+    return done
+
+
+@contextmanager
+def _claims(store: Store, lease: float) -> Iterator[str]:
+    """An owner whose claims are renewed until the block ends, and given up then."""
+    owner, over = uuid.uuid4().hex, threading.Event()
+
+    def keep() -> None:
+        while not over.wait(lease / 3):
+            store.renew(owner, lease)
+
+    keeper = threading.Thread(target=keep, daemon=True)
+    keeper.start()
+    try:
+        yield owner
+    finally:
+        over.set()
+        keeper.join()
+        store.renew(owner, 0)
+
+
+def _work_off(chunks: Iterator[Batch], work: Callable[[Batch], bool], in_flight: int, budget: int | None) -> int:
+    """Chunks done by ``in_flight`` threads, each taking the next one; at most ``budget``.
+
+    Chunks of other runs count as not done. The first failure stops the rest.
+    """
+    lock, failures, under_way, done = threading.Lock(), [], 0, 0
+
+    def one_after_another() -> None:
+        nonlocal under_way, done
+        while not failures:
+            with lock:
+                chunk = next(chunks, None) if budget is None or under_way + done < budget else None
+                under_way += chunk is not None
+            if chunk is None:
+                return
+            mine = False
+            try:
+                mine = work(chunk)
+            except Lost:  # taken over by another run
+                pass
+            except BaseException as e:
+                failures.append(e)
+            with lock:
+                under_way -= 1
+                done += mine
+
+    threads = [threading.Thread(target=one_after_another) for _ in range(in_flight - 1)]
+    for t in threads:
+        t.start()
+    one_after_another()
+    for t in threads:
+        t.join()
+    if failures:
+        raise failures[0]
+    return done
 
 
 def _todo(store: Store) -> list:
+    """Planned chunks that are not committed, the first ``CHUNK_LIST`` in order."""
     ledger = store.ledger().where(F.col("mode") == st.BACKFILL)
     chunks = ledger.where(F.col("kind") == st.CHUNK).select("batch_id", "lo_id", "last_id")
     todo = pending_chunks(chunks, ledger.where(F.col("kind") == st.COMMIT))

@@ -140,11 +140,40 @@ def throughput(samples: DataFrame) -> DataFrame:
     )
 
 
-def sliding_rate(samples: DataFrame, length: str = "30 seconds", step: str = "10 seconds") -> DataFrame:
-    """Rows per sliding window; works on a batch and on a stream."""
-    ts = F.timestamp_millis("t_ms")
+def samples_of(commits: DataFrame) -> DataFrame:
+    """``(mode, t_ms, n)`` of a run: every batch is a sample, taken when it was committed."""
+    at = F.floor(F.col("at_micros") / 1000).cast("long")
+    return commits.select("mode", at.alias("t_ms"), F.col("n_rows").alias("n"))
+
+
+def outcomes_of(commits: DataFrame) -> DataFrame:
+    """``batch_outcomes`` of committed batches, from what was counted when they were written."""
+    bad = F.coalesce("n_rejected", F.lit(0).cast("long"))
+    return commits.select(
+        "mode",
+        "batch_id",
+        "n_rows",
+        (F.col("n_rows") - bad).alias("indexed"),
+        bad.alias("dead_lettered"),
+        # A replay repairs the state and publishes nothing.
+        F.when(F.col("mode") == "replay", F.lit(0).cast("long")).otherwise(F.col("n_rows")).alias("published"),
+        F.col("n_deleted").alias("deleted"),
+    )
+
+
+def sliding_rate(
+    samples: DataFrame, length: str = "30 seconds", step: str = "10 seconds", late: str | None = None
+) -> DataFrame:
+    """Rows per sliding window; works on a batch and on a stream.
+
+    A stream needs ``late``: how far a sample may lie behind the newest one. Windows that end
+    before that are closed and leave the state, and samples for them alone are dropped.
+    """
+    timed = samples.withColumn("_ts", F.timestamp_millis("t_ms"))
+    if late:
+        timed = timed.withWatermark("_ts", late)
     return (
-        samples.groupBy("mode", F.window(ts, length, step).alias("_w"))
+        timed.groupBy("mode", F.window("_ts", length, step).alias("_w"))
         .agg(F.sum("n").alias("n_rows"))
         .select("mode", F.unix_seconds("_w.start").alias("window_start"), "n_rows")
     )

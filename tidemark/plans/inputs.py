@@ -263,6 +263,14 @@ class Inputs:
             extra.select((-F.col("id")).alias("id"), F.lit(1).alias("version"))
         )
 
+    def sink_contents(self) -> DataFrame:
+        """The same damage with contents; some rows of an equal version differ in a field."""
+        damaged = self.sink_copy().withColumnRenamed("version", "held")
+        live = self.rec().where("deleted_at IS NULL").select("id", "status", "amount", "updated_at")
+        rows = damaged.join(live, "id", "left")
+        other = F.when(F.col("id") % 59 == 2, None).when(F.col("id") % 61 == 3, "gone").otherwise(F.col("status"))
+        return rows.select("id", F.col("held").alias("version"), other.alias("status"), "amount", "updated_at")
+
     def samples(self) -> DataFrame:
         """Throughput samples every 4 s, the two modes in turn."""
         return self.table("events").select(

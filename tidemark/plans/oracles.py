@@ -171,6 +171,11 @@ SELECT coalesce(s.id, t.id) AS id, s.version AS source_version, t.version AS sin
        WHEN t.version < s.version THEN 'stale' WHEN t.version > s.version THEN 'ahead'
        ELSE 'equal' END AS verdict
 FROM source s FULL JOIN sink_copy t ON s.id = t.id""",
+    "sink_contents": """
+SELECT k.id, k.version,
+  CASE WHEN k.id % 59 = 2 THEN NULL WHEN k.id % 61 = 3 THEN 'gone' ELSE r.status END AS status,
+  r.amount, r.updated_at
+FROM sink_copy k LEFT JOIN (SELECT * FROM rec WHERE deleted_at IS NULL) r ON r.id = k.id""",
     "samples": """
 SELECT CASE WHEN event_id % 2 = 0 THEN 'backfill' ELSE 'incremental' END AS mode,
        event_id * 4000 AS t_ms, 1 + event_id % 500 AS n
@@ -377,6 +382,8 @@ SELECT CASE WHEN grouping(status) = 0 THEN 'status' ELSE 'op' END AS dimension,
   coalesce(status, op) AS key, count(*) AS n
 FROM ev GROUP BY GROUPING SETS ((status), (op))""",
     "poison_events": """
+SELECT value, poison, count(*) AS n FROM raw_events WHERE poison IS NOT NULL GROUP BY value, poison""",
+    "consume_stream_poison": """
 SELECT value, poison, count(*) AS n FROM raw_events WHERE poison IS NOT NULL GROUP BY value, poison""",
     "consumer_totals": "SELECT * FROM totals",
     "search": f"""
@@ -393,18 +400,35 @@ WHERE email = 'customer#000000042.0@example.com'
                   ['customer', '000000042', '0', 'example', 'com'])""",
     "search_terms": f"SELECT {_HIT} FROM docs WHERE status = 'pending' AND country = 'NATION_7'",
     "search_page": f"""
+SELECT {_HIT} FROM docs WHERE status = 'active' ORDER BY updated_at DESC, id LIMIT 25 OFFSET 50""",
+    "search_index_page": f"""
 SELECT {_HIT} FROM docs WHERE status = 'active' ORDER BY updated_at DESC, id LIMIT 25 OFFSET 50""",
     "search_keyset": f"""
+SELECT {_HIT} FROM docs WHERE status = 'active' AND (updated_at < TIMESTAMP '1997-01-01'
+  OR (updated_at = TIMESTAMP '1997-01-01' AND id > 5)) ORDER BY updated_at DESC, id LIMIT 100""",
+    "search_index_keyset": f"""
 SELECT {_HIT} FROM docs WHERE status = 'active' AND (updated_at < TIMESTAMP '1997-01-01'
   OR (updated_at = TIMESTAMP '1997-01-01' AND id > 5)) ORDER BY updated_at DESC, id LIMIT 100""",
     "search_total": """
 SELECT count(*) AS total, CAST(greatest(1, ceil(count(*) / 20.0)) AS BIGINT) AS pages
+FROM docs WHERE status = 'active'""",
+    "search_index_total": """
+SELECT count(*) AS total, CAST(greatest(1, ceil(count(*) / 20.0)) AS BIGINT) AS pages
 FROM docs WHERE status = 'active'""",
     "sample_live": """
 SELECT id, version, status FROM rec WHERE deleted_at IS NULL
 ORDER BY md5(concat('7:', CAST(id AS VARCHAR))), id LIMIT 20""",
     "reconcile": "SELECT * FROM reconciled",
     "reconcile_summary": "SELECT verdict, count(*) AS n FROM reconciled GROUP BY verdict",
+    "reconcile_digest": """
+SELECT * FROM (
+  SELECT coalesce(s.id, t.id) AS id, s.version AS source_version, t.version AS sink_version,
+    CASE WHEN t.id IS NULL THEN 'missing' WHEN s.id IS NULL THEN 'extra'
+         WHEN t.version < s.version THEN 'stale' WHEN t.version > s.version THEN 'ahead'
+         WHEN (s.status, s.amount, s.updated_at) IS DISTINCT FROM (t.status, t.amount, t.updated_at) THEN 'differs'
+    END AS verdict
+  FROM (SELECT * FROM rec WHERE deleted_at IS NULL) s FULL JOIN sink_contents t ON s.id = t.id)
+WHERE verdict IS NOT NULL""",
     "missing_in_sink": "SELECT * FROM source WHERE id NOT IN (SELECT id FROM sink_copy)",
     "extra_in_sink": "SELECT * FROM sink_copy WHERE id NOT IN (SELECT id FROM source)",
     "duplicate_ids": "SELECT id, count(*) AS copies FROM feed GROUP BY id HAVING count(*) > 1",
@@ -418,6 +442,11 @@ SELECT {_LAG} AS lag_seconds FROM rec WHERE (updated_at, id) > (TIMESTAMP '1997-
     "throughput_30s": "SELECT * FROM rates",
     "rate_sliding": """
 SELECT mode, w AS window_start, CAST(sum(n) AS BIGINT) AS n_rows
+FROM (SELECT mode, n, unnest([s, s - 10, s - 20]) AS w
+      FROM (SELECT mode, n, CAST(floor(t_ms / 10000.0) * 10 AS BIGINT) AS s FROM samples) a) b
+GROUP BY mode, w""",
+    "rate_stream": """
+SELECT mode, w AS window_start, CAST(sum(n) AS BIGINT) AS n_rows
 FROM (SELECT mode, n, unnest([s, s - 10, s - 20]) AS w
       FROM (SELECT mode, n, CAST(floor(t_ms / 10000.0) * 10 AS BIGINT) AS s FROM samples) a) b
 GROUP BY mode, w""",
@@ -478,6 +507,15 @@ FROM events""",
     "dead_letter_job": """
 SELECT source_record_id, sink, external_id, 'mapper_parsing_exception: bad amount N/A' AS error,
   attempt_count, status FROM dlq""",
+    "store_lookup": f"{_STATE} WHERE country = 'NATION_3' AND company = 'BUILDING'",
+    "run_outcomes": """
+SELECT mode, CAST(1 AS BIGINT) AS batch_id, count(*) AS n_rows, count(*) FILTER (NOT bad) AS indexed,
+  count(*) FILTER (bad) AS dead_lettered, count(*) AS published, count(*) FILTER (deleted_at IS NOT NULL) AS deleted
+FROM (SELECT *, amount = 'N/A' AND deleted_at IS NULL AS bad FROM rec), (SELECT unnest(['backfill', 'incremental']) AS mode)
+GROUP BY mode""",
+    "run_samples": """
+SELECT 'backfill' AS mode, count(*) AS n_rows, true AS has_rate FROM rec
+UNION ALL SELECT 'incremental', count(*), false FROM rec""",
     "consume_stream": """
 SELECT 'total' AS dimension, 'processed' AS key, count(*) AS n FROM unique_valid
 UNION ALL SELECT 'status', status, count(*) FROM unique_valid GROUP BY status

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark import functions as fn
 from tidemark.jobs import replicate
 from tidemark.jobs import store as st
+from tidemark.jobs.search_index import SearchIndex
 from tidemark.operators import bulk, change, deadletter, dedupe, mutate, reconcile, report, routing
 from tidemark.operators import search as find
 from tidemark.operators import state
@@ -31,7 +32,7 @@ from tidemark.sources import (
 )
 from tidemark.sources.cursor import WATERMARK
 from tidemark.sources.numbering import with_page
-from tidemark.streaming import consumer
+from tidemark.streaming import consumer, rates
 from tidemark.streaming.replicate import replicate_stream
 
 CURSOR = (CURSOR_MICROS, CURSOR_ID)
@@ -447,6 +448,28 @@ def search_total(t):
     return hits.withColumn("pages", fn.page_count(F.col("total"), 20))
 
 
+def _index(t: Inputs) -> SearchIndex:
+    index = SearchIndex(t.spark, shared_dir(t.spark, "search"))
+    index.build(_docs(t), slice_rows=max(1, t.table("orders").count() // 16))
+    return index
+
+
+@query
+def search_index_page(t):
+    return _hit_columns(_index(t).page(page=3, limit=25, status="active"))
+
+
+@query
+def search_index_keyset(t):
+    return _hit_columns(_index(t).after(CURSOR_MICROS, CURSOR_ID, 100, status="active"))
+
+
+@query
+def search_index_total(t):
+    hits = _index(t).total(status="active")
+    return hits.withColumn("pages", fn.page_count(F.col("total"), 20))
+
+
 @query
 def sample_live(t):
     return bulk.sample_rows(change.live_rows(t.rec()), 20, seed=7).select("id", "version", "status")
@@ -469,6 +492,17 @@ def reconcile_summary(t):
     return reconcile.summary(reconcile.reconcile(_source(t), t.sink_copy()))
 
 
+CONTENTS = ["version", "status", "amount", "updated_at"]
+
+
+@query
+def reconcile_digest(t):
+    """Damage of contents, found by digests and joined for unlike leaves only."""
+    source = change.live_rows(t.rec()).select("id", *CONTENTS)
+    depth = reconcile.depth_for(t.table("orders").count())
+    return reconcile.damage(source, t.sink_contents(), CONTENTS, depth)
+
+
 @query
 def missing_in_sink(t):
     return reconcile.missing_in_sink(_source(t), t.sink_copy())
@@ -666,6 +700,49 @@ def dead_letter_job(t):
     )
 
 
+@query
+def store_lookup(t):
+    """Documents of one nation and segment, by key from a compacted store."""
+    source = _written_source(t)
+    store = st.Store.create(t.spark, shared_dir(t.spark, "store"))
+    replicate.run_backfill(store, source)
+    store.compact(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = t.rec().where("country = 'NATION_3' AND company = 'BUILDING'").select("id")
+    return _state_columns(store.lookup(keys))
+
+
+@query
+def run_outcomes(t):
+    """What became of the rows of both workers, as their runs recorded it."""
+    source = _written_source(t)
+    store = st.Store.create(t.spark, shared_dir(t.spark, "store"))
+    replicate.run_backfill(store, source)
+    replicate.run_incremental(store, source)
+    return store.outcomes()
+
+
+@query
+def run_samples(t):
+    """Rows in the samples of both workers' runs, and whether they give rates."""
+    source = _written_source(t)
+    store = st.Store.create(t.spark, shared_dir(t.spark, "store"))
+    chunk = -(-t.table("orders").count() // 3)
+    replicate.run_backfill(store, source, chunk)
+    replicate.run_incremental(store, source)
+    rated = report.throughput(store.samples()).groupBy("mode").agg((F.max("rows_per_sec") > 0).alias("has_rate"))
+    return store.samples().groupBy("mode").agg(F.sum("n").alias("n_rows")).join(rated, "mode")
+
+
+@query
+def rate_stream(t):
+    """Sliding windows kept by a stream of samples."""
+    path, out = shared_dir(t.spark, "samples"), shared_dir(t.spark, "rates")
+    t.samples().write.parquet(path)
+    samples = t.spark.readStream.schema(rates.SAMPLE).option("maxFilesPerTrigger", 64).parquet(path)
+    rates.count_windows(samples, out, late="36500 days").awaitTermination()
+    return rates.rates(t.spark, out)
+
+
 @query
 def replicate_stream_(t):
     """A stream of row changes into a store, read back as current documents."""
@@ -682,13 +759,7 @@ def _consumed(t: Inputs) -> str:
     raw, out = shared_dir(t.spark, "raw"), shared_dir(t.spark, "consumer")
     t.raw_events().select("value").write.text(raw)
     parsed = consumer.parse_events(consumer.raw_event_stream(t.spark, raw, 64), RAW_EVENT)
-    valid = parsed.where(F.col("poison").isNull())
-    runs = [
-        consumer.count_unique(valid, out),
-        consumer.set_poison_aside(parsed, out),
-    ]
-    for run in runs:
-        run.awaitTermination()
+    consumer.consume(parsed, out).awaitTermination()
     return out
 
 
@@ -703,5 +774,11 @@ def consume_stream_totals(t):
     return consumer.totals(t.spark, _consumed(t))
 
 
+@query
+def consume_stream_poison(t):
+    """Poison deliveries as the streaming consumer set them aside."""
+    return consumer.poison(t.spark, _consumed(t)).groupBy("value", "poison").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Trailing underscores only avoid clashes with imported names.
 QUERIES = {name.rstrip("_"): run for name, run in QUERIES.items()}

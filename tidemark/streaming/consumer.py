@@ -1,25 +1,39 @@
 """The event consumer: parse, set poison aside, drop repeated deliveries, count.
 
-Counters are kept as one small delta per micro-batch, written under the batch number, so
-a batch that runs twice leaves one delta. Batch numbers and remembered changes live in the
-checkpoint, which is therefore kept in the output folder: they stay or go together.
+One query does all of it. A micro-batch is written once, parsed; poison stays where it was
+written, the other deliveries are reduced to one row per change and held against the changes
+seen within the time to live. The new ones are written as a run of the seen-set, their counts
+as a run of the counters, and one manifest entry names everything and carries the totals. So
+whatever is read, at any moment, belongs to the same deliveries; a batch that dies on the way
+leaves nothing, and one that comes again after its entry changes nothing.
+
+The seen-set is a wheel of generations, one per ``TICKS``-th of the time to live: a run belongs
+to the generation of its arrival, runs are merged within a generation, and a run drops out of
+the manifest as soon as its last change has expired.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.jobs.manifest import Manifest
+from tidemark.jobs.store import now_micros
 from tidemark.operators.change import op_kind
 from tidemark.operators.dedupe import CHANGE_KEY
 from tidemark.operators.report import event_counters
 from tidemark.schemas import BATCH_KEYS, CHANGE, EVENT, RECORD
-from tidemark.session import keep_state_on_disk
 
 # Fixed value: how long a change is remembered after its first delivery.
-TTL = "24 hours"
+TTL_MICROS = 24 * 3600 * 1_000_000
+# Where Spark tells a micro-batch which query, that is which checkpoint, it belongs to.
+QUERY_ID = "sql.streaming.queryId"
+#: Generations of the seen-set within the time to live.
+TICKS = 24
 COUNTERS = T.StructType(
     [
         T.StructField("dimension", T.StringType()),
@@ -27,7 +41,13 @@ COUNTERS = T.StructType(
         T.StructField("n", T.LongType()),
     ]
 )
-INTAKE = T.StructType([T.StructField("valid", T.LongType()), T.StructField("poison", T.LongType())])
+POISON = T.StructType([T.StructField("value", T.StringType()), T.StructField("poison", T.StringType())])
+CHANGES = T.StructType(
+    [T.StructField("id", T.LongType()), T.StructField("version", T.IntegerType())]
+    + [T.StructField(name, T.StringType()) for name in ("op", "status", "country")]
+)
+SEEN = T.StructType([*CHANGES.fields[:2], T.StructField("arrived", T.LongType())])
+TOTALS = ("processed_total", "duplicates_skipped_total", "errors_total")
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -90,82 +110,125 @@ def parse_events(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     return parsed.select("value", *[F.col("_e")[f].alias(f) for f in schema.names], poison.alias("poison"))
 
 
-def dedupe_stream(events: DataFrame, ttl: str = TTL, salts: int | None = None) -> DataFrame:
-    """First delivery of each ``(id, version)``; later ones within ``ttl`` are dropped.
-
-    The clock is arrival, not event time: a delivery is never late, so none is lost. One
-    change may make up a large share of all deliveries; a first pass per ``(key, salt)``
-    spreads them over ``salts`` tasks (all shuffle partitions, unless given) and lets at most
-    that many reach the second. A change delivered a few times costs a state row per delivery.
-    """
-    salts = salts or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    arrived = events.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", ttl)
-    if salts > 1:
-        # A seeded draw over file rows: a task that runs again draws the same salts.
-        salted = arrived.withColumn("_salt", F.floor(F.rand(seed=11) * salts))
-        arrived = salted.dropDuplicatesWithinWatermark([*CHANGE_KEY, "_salt"]).drop("_salt")
-    return arrived.dropDuplicatesWithinWatermark(list(CHANGE_KEY))
+def manifest(spark: SparkSession, out: str) -> Manifest:
+    return Manifest(spark, f"{out}/manifest", f"{out}/runs")
 
 
-def count_unique(
-    events: DataFrame, out: str, every: str | None = None, salts: int | None = None
-) -> StreamingQuery:
-    """Counters over unique changes: total, by status, by country, by op."""
-    slim = events.select(
-        *CHANGE_KEY, "op", F.col("data.status").alias("status"), F.col("data.country").alias("country")
+def _slim(deliveries: DataFrame) -> DataFrame:
+    """What is kept of a delivery: poison as it came, of the others key and counted fields."""
+    for name in ("value", "poison"):
+        if name not in deliveries.columns:
+            deliveries = deliveries.withColumn(name, F.lit(None).cast("string"))
+    bad = F.col("poison").isNotNull()
+    fields = {"op": F.col("op"), "status": F.col("data.status"), "country": F.col("data.country")}
+    return deliveries.select(
+        F.when(bad, F.col("value")).alias("value"),
+        "poison",
+        *[F.when(~bad, F.col(c)).alias(c) for c in CHANGE_KEY],
+        *[F.when(~bad, c).alias(name) for name, c in fields.items()],
+        F.when(bad, "poison").otherwise("valid").alias("part"),
     )
 
-    def write(batch: DataFrame, number: int) -> None:
-        counters = event_counters(
-            batch,
-            total=F.lit("processed"),
-            status=F.col("status"),
-            country=F.col("country"),
-            op=F.col("op"),
-        )
-        counters.repartition(1).write.mode("overwrite").parquet(f"{out}/counters/batch={number}")
 
-    keep_state_on_disk(events.sparkSession)
-    deduped = dedupe_stream(slim, salts=salts)
-    return start(deduped.writeStream.foreachBatch(write), f"{out}/checkpoints/unique", every)
+def _new_changes(book: Manifest, firsts: DataFrame, seen: list[dict], since: int) -> DataFrame:
+    """The changes of ``firsts`` that were not first delivered after ``since``.
+
+    The seen-set is cut down to the changes at hand before the two meet. ``firsts`` is a
+    written table of known size, so the planner sends it to the seen-set if it is small; only
+    a batch too large for that shuffles both.
+    """
+    known = book.read_runs(seen, SEEN).where(F.col("arrived") > since)
+    again = known.join(firsts.select(*CHANGE_KEY), list(CHANGE_KEY), "left_semi").select(*CHANGE_KEY)
+    return firsts.join(again, list(CHANGE_KEY), "left_anti")
 
 
-def set_poison_aside(parsed: DataFrame, out: str, every: str | None = None) -> StreamingQuery:
-    """Poison events to a table of their own, and how many deliveries came in.
+def consume(
+    deliveries: DataFrame,
+    out: str,
+    every: str | None = None,
+    ttl_micros: int = TTL_MICROS,
+    clock: Callable[[], int] = now_micros,
+) -> StreamingQuery:
+    """Count every change once within ``ttl_micros`` of its first delivery; set poison aside.
 
-    One pass: the counts are observed while the poison rows are written.
+    ``deliveries`` are parsed events, with ``poison`` and ``value`` if there may be poison. The
+    clock is arrival, not event time: no delivery is ever late. A repeat does not prolong what
+    is remembered; one that comes after the time to live counts again, and starts anew. One
+    change may make up any share of the deliveries: each task passes on one row of it.
     """
+    spark = deliveries.sparkSession
+    book = manifest(spark, out)
 
     def write(batch: DataFrame, number: int) -> None:
-        seen = Observation()
-        bad = F.col("poison").isNotNull()
-        observed = batch.observe(seen, F.count_if(~bad).alias("valid"), F.count_if(bad).alias("poison"))
-        rows = observed.where(bad).select("value", "poison")
-        rows.write.mode("overwrite").parquet(f"{out}/poison/batch={number}")
-        counts = batch.sparkSession.createDataFrame([(seen.get["valid"], seen.get["poison"])], INTAKE)
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/intake/batch={number}")
-
-    return start(parsed.writeStream.foreachBatch(write), f"{out}/checkpoints/intake", every)
+        entry, content = book.newest()
+        query = spark.sparkContext.getLocalProperty(QUERY_ID)
+        if content.get("query") == query and content["batch"] >= number:
+            return  # published before the stream could note it
+        now = max(clock(), content.get("at", 0))
+        since, tick = now - ttl_micros, max(ttl_micros // TICKS, 1)
+        runs = content.get("runs", {"seen": [], "counters": [], "poison": []})
+
+        counts = Observation()
+        poison = F.col("part") == "poison"
+        name = book.new_run("deliveries")
+        slim = _slim(batch).observe(counts, F.count_if(~poison).alias("valid"), F.count_if(poison).alias("poison"))
+        slim.write.partitionBy("part").parquet(book.path(name))
+        n_valid, n_poison = counts.get["valid"], counts.get["poison"]
+
+        seen = [r for r in runs["seen"] if r["newest"] > since]
+        counters, aside = runs["counters"], runs["poison"]
+        n_new = 0
+        if n_valid:
+            valid = spark.read.schema(CHANGES).parquet(f"{book.path(name)}/part=valid")
+            fields = F.struct(*CHANGES.names[2:])
+            once = valid.groupBy(*CHANGE_KEY).agg(F.min(fields).alias("_f")).select(*CHANGE_KEY, "_f.*")
+            firsts = book.write_run("firsts", once)
+            new = book.read_runs([firsts], CHANGES)
+            if seen:
+                firsts = book.write_run("firsts", _new_changes(book, new, seen, since))
+                new = book.read_runs([firsts], CHANGES)
+            n_new = firsts["n"]
+        if n_new:
+            marks = {"generation": now // tick, "newest": now}
+            arrived = new.select(*CHANGE_KEY, F.lit(now).cast("long").alias("arrived"))
+            seen = [*seen, book.write_run("seen", arrived.sortWithinPartitions(*CHANGE_KEY), **marks)]
+            seen = book.merged("seen", seen, SEEN, lambda rows: rows.repartitionByRange(*CHANGE_KEY).sortWithinPartitions(*CHANGE_KEY), "generation")
+            tallies = event_counters(
+                new, total=F.lit("processed"), status=F.col("status"), country=F.col("country"), op=F.col("op")
+            )
+            counters = book.merged("counters", [*counters, book.write_run("counters", tallies.coalesce(1))], COUNTERS, _added)
+        if n_poison:
+            run = {"path": f"{name}/part=poison", "level": 0, "n": n_poison}
+            aside = book.merged("poison", [*aside, run], POISON, lambda rows: rows.hint("rebalance"))
+        past = content.get("totals", [0, 0, 0])
+        totals = [past[0] + n_new, past[1] + n_valid - n_new, past[2] + n_poison]
+        runs = {"seen": seen, "counters": counters, "poison": aside}
+        if not book.publish(entry + 1, {"query": query, "batch": number, "at": now, "runs": runs, "totals": totals}):
+            raise RuntimeError(f"another query consumes into {out}")
+
+    return start(deliveries.writeStream.foreachBatch(write), f"{out}/checkpoints/consumer", every)
+
+
+def _added(counters: DataFrame) -> DataFrame:
+    """Counters of several runs as one; a few keys, as one file."""
+    return counters.groupBy("dimension", "key").agg(F.sum("n").alias("n")).coalesce(1)
 
 
 def counters(spark: SparkSession, out: str) -> DataFrame:
-    """Counters so far: the sum of all deltas."""
-    deltas = spark.read.schema(COUNTERS).parquet(f"{out}/counters")
-    return deltas.groupBy("dimension", "key").agg(F.sum("n").alias("n"))
+    """Counters so far: the sum of the counter runs, whose number grows with the logarithm
+    of the number of micro-batches."""
+    book = manifest(spark, out)
+    runs = book.newest()[1].get("runs", {})
+    return book.read_runs(runs.get("counters", []), COUNTERS).groupBy("dimension", "key").agg(F.sum("n").alias("n"))
 
 
-def totals(spark: SparkSession, out: str) -> DataFrame:
-    """Processed, skipped and poison events so far, as one row.
+def poison(spark: SparkSession, out: str) -> DataFrame:
+    """Poison deliveries so far, as they came, and why they were not counted."""
+    book = manifest(spark, out)
+    return book.read_runs(book.newest()[1].get("runs", {}).get("poison", []), POISON)
 
-    Two queries feed it; what is skipped is exact once both have passed the same deliveries.
-    """
-    intake = spark.read.schema(INTAKE).parquet(f"{out}/intake")
-    unique = counters(spark, out).where(F.col("dimension") == "total")
-    parts = intake.select("valid", "poison", F.lit(0).cast("long").alias("n")).unionByName(
-        unique.select(F.lit(0).cast("long").alias("valid"), F.lit(0).cast("long").alias("poison"), "n")
-    )
-    return parts.agg(
-        F.sum("n").alias("processed_total"),
-        (F.sum("valid") - F.sum("n")).alias("duplicates_skipped_total"),
-        F.sum("poison").alias("errors_total"),
-    )
+
+def totals(spark: SparkSession, out: str) -> DataFrame:
+    """Processed, skipped and poison events so far, as one row, all of the same deliveries."""
+    row = manifest(spark, out).newest()[1].get("totals", [0, 0, 0])
+    return spark.createDataFrame([tuple(row)], ", ".join(f"{name} long" for name in TOTALS))

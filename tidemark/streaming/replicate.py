@@ -11,11 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.jobs import store as st
 from tidemark.jobs.replicate import Sink, write_batch
 from tidemark.jobs.store import Store
-from tidemark.streaming.consumer import start
-
-
-# Where Spark tells a micro-batch which query it belongs to.
-QUERY_ID = "sql.streaming.queryId"
+from tidemark.streaming.consumer import QUERY_ID, start
 
 
 def replicate_stream(
