@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -60,6 +61,57 @@ def test_classifier_learns_held_out_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 for i, r in got.items())
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_the_cut_parts_the_labels_at_other_sizes(spark, sf):
+    got = {r.doc_id: r for r in QUERIES["op3_quality_classifier"](spark, f"/root/testdata/{sf}").collect()}
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").collect()
+    held = [(got[r.doc_id].predicted, r.quality) for r in labels if got[r.doc_id].held_out]
+    low = [p for p, q in held if q == 0]
+    assert sum(a == b for a, b in held) / len(held) >= 0.99 and low.count(0) >= 0.95 * len(low)
+
+
+def features_by_hand(text):
+    """From characters and lists of words, one definition at a time."""
+    words = WORD.findall(text)
+    if not words:
+        return [0.0] * len(quality_gam.FEATURES)
+    size = lambda t: len(t.encode())
+    chars = sum(map(size, words))
+    of = lambda kind: sum(size(c) for w in words for c in w if c in kind) / chars
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    n = len(words)
+    return [
+        math.log2(n + 1), chars / n, len(set(words)) / n**0.9, sum(a == b for a, b in zip(words, words[1:])) / n,
+        of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), of("0123456789"), of("#*$%&<>@^~_=+{}[]\\"),
+        sum(text.count(c) for c in "!?") / n, text.count("|") / n, of(",.;:"), sum(size(c) for c in text if ord(c) > 127) / chars,
+        (len(lines) - len(set(lines))) / len(lines), math.log2(n / len(lines) + 1), math.log2(max(map(size, words)) + 1),
+    ]
+
+
+def test_features_by_hand():
+    texts = [t for _, t, _ in corpus.odd_rows()] + ["A|b! ,#x\n\nA|b! ,#x\n9 9 9 é?", "\n\n one\none \n"]
+    for text in texts:
+        got = quality_gam.features(None if text is None else text.encode())
+        assert got == pytest.approx(features_by_hand(text or ""), abs=1e-9)
+
+
+def test_scores_are_sums_of_looked_up_bins(odd):
+    """Margins by a loop over rows, tables and pairs."""
+    bad = odd.select("doc_id", (F.coalesce(F.length("text"), F.lit(0)) > 200).cast("int").alias("label"))
+    model = quality_gam.train(odd, bad, cut=0.3)
+    texts = {str((i, t)): t for i, t, _ in corpus.odd_rows()}
+    want = []
+    for text in texts.values():
+        bins = [sum(v >= e for e in edges) for v, edges in zip(quality_gam.features((text or "").encode()), model.edges)]
+        total = model.intercept + model.shift + sum(model.tables[j][b] for j, b in enumerate(bins))
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[bins[a] * quality_gam.PAIR_BINS // quality_gam.BINS][bins[b] * quality_gam.PAIR_BINS // quality_gam.BINS]
+        want.append(1 / (1 + math.exp(-max(min(total, 30), -30))))
+    rows = quality_gam.scored(odd.dropDuplicates(["doc_id", "text"]), model).collect()
+    assert sorted(r.score for r in rows) == pytest.approx(sorted(want), abs=1e-9)
+    assert {r.doc_id: r.score for r in rows}[2] == {r.doc_id: r.score for r in rows}[3]
+
+
 def test_classifier_odd_rows(odd):
     one_kind = odd.where("doc_id < 30").select("doc_id", F.lit(1).alias("label"))
     scores = [r.score for r in quality_gam.scored(odd, quality_gam.train(odd, one_kind)).collect()]
@@ -89,8 +141,8 @@ def fingerprint(text, k=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def classes(prints, distance):
-    """Smallest id by row, from (id, fingerprint) rows, by comparing all."""
+def roots(prints, distance):
+    """Some member of its group for every fingerprint, from (id, fingerprint) rows, by comparing all."""
     values = sorted({f for _, f in prints})
     root = {v: v for v in values}
 
@@ -103,11 +155,21 @@ def classes(prints, distance):
         for b in values[i + 1 :]:
             if (a ^ b).bit_count() <= distance:
                 root[find(b)] = find(a)
-    smallest = defaultdict(list)
+    return {v: find(v) for v in values}
+
+
+def smallest_ids(prints, distance):
+    """Smallest id by group; None for groups without any id."""
+    group, members = roots(prints, distance), defaultdict(list)
     for i, f in prints:
-        smallest[find(f)].append(i)
-    least = {k: min((i for i in v if i is not None), default=None) for k, v in smallest.items()}
-    return [(i, f, least[find(f)]) for i, f in prints]
+        members[group[f]].append(i)
+    return {k: min((i for i in v if i is not None), default=None) for k, v in members.items()}
+
+
+def classes(prints, distance):
+    """Smallest id by row."""
+    group, least = roots(prints, distance), smallest_ids(prints, distance)
+    return [(i, f, least[group[f]]) for i, f in prints]
 
 
 @pytest.mark.parametrize("unit", [16_384, 2])
@@ -122,10 +184,9 @@ def test_distinct_documents_keep_one_of_each_group(odd):
     odd = odd.withColumns({"kept_id": F.lit(1), "kept_fp": F.lit(2), "component_id": F.lit(3)})
     kept = simhash_trie.distinct_documents(odd)
     assert kept.columns == odd.columns
-    groups = {f: c for _, f, c in classes([(i, fingerprint(t)) for i, t, _ in corpus.odd_rows()], 4)}
-    ids = sorted((r.doc_id for r in kept.collect()), key=str)
-    # Groups without any id keep one row without id.
-    assert [i for i in ids if i is not None] == sorted({c for c in groups.values() if c is not None}, key=str)
+    # One document of each group, also where groups repeat an id; groups without any id keep one row without.
+    want = smallest_ids([(i, fingerprint(t)) for i, t, _ in corpus.odd_rows()], 4).values()
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
 
 
 def test_groups_without_ids_keep_one_row_each(spark):
@@ -221,72 +282,73 @@ def tokens(text):
     return WORD.findall(lower(text)) + ["</s>"]
 
 
-def kneser_ney_scores(train, texts):
-    """The textbook bigram model, by dictionaries."""
-    pairs, words = Counter(), Counter()
+def kneser_ney_scores(train, texts, order):
+    """The textbook model of an order, by dictionaries."""
+    start = ("<s>",) * (order - 1)
+    words, counts = Counter(), {k: Counter() for k in range(1, order + 1)}
     for t in train:
-        sequence = ["<s>"] + tokens(t)
-        words.update(sequence[1:])
-        pairs.update(zip(sequence, sequence[1:]))
-    before, total = Counter(w for _, w in pairs), Counter()
-    follow = defaultdict(Counter)
-    for (v, _), c in pairs.items():
-        total[v] += c
-        follow[v][min(c, 3)] += 1
-    levels = lambda counts: [sum(c == k for c in counts) for k in (1, 2, 3, 4)]
-    d = dict(enumerate(kneser_ney.discounts(levels(pairs.values())), 1))
-    e = dict(enumerate(kneser_ney.discounts(levels(before.values())), 1))
-    n, spread = len(words), 1.0
-    if pairs:
-        spread = sum(e[min(c, 3)] for c in before.values()) / len(pairs)
-
-    def unigram(w):
-        p = spread / (n + 1)
-        return p + (before[w] - e[min(before[w], 3)]) / len(pairs) if w in before else p
-
-    def bigram(v, w):
-        if v not in total:
-            return unigram(w)
-        c = pairs.get((v, w), 0)
-        left = sum(d[k] * m for k, m in follow[v].items()) / total[v]
-        return (max(c - d[min(c, 3)], 0) / total[v] if c else 0.0) + left * unigram(w)
+        sequence = start + tuple(tokens(t))
+        words.update(sequence[order - 1 :])
+        counts[order].update(sequence[i - order + 1 : i + 1] for i in range(order - 1, len(sequence)))
+    for k in range(order - 1, 0, -1):  # distinct words before
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    n, total, follow = len(words), defaultdict(Counter), defaultdict(lambda: defaultdict(Counter))
+    for k, of in counts.items():
+        for g, c in of.items():
+            total[k][g[:-1]] += c
+            follow[k][g[:-1]][min(c, 3)] += 1
+    levels = lambda values: [sum(c == j for c in values) for j in (1, 2, 3, 4)]
+    d = {k: dict(enumerate(kneser_ney.discounts(levels(of.values())), 1)) for k, of in counts.items()}
+
+    def p(w, h):
+        k = len(h) + 1
+        shorter = p(w, h[1:]) if h else 1 / (n + 1)
+        if not total[k][h]:
+            return shorter
+        c = counts[k].get((*h, w), 0)
+        left = sum(d[k][j] * m for j, m in follow[k][h].items()) / total[k][h]
+        return (max(c - d[k][min(c, 3)], 0) / total[k][h] if c else 0.0) + left * shorter
 
     out = []
     for t in texts:
-        sequence = ["<s>"] + tokens(t)
+        sequence = start + tuple(tokens(t))
+        own = sequence[order - 1 :]
         out.append(
             (
-                len(sequence) - 1,
-                sum(w in words for w in sequence[1:]),
-                sum(math.log10((words[w] + 1) / (sum(words.values()) + n + 1)) for w in sequence[1:]),
-                sum(math.log10(bigram(v, w)) for v, w in zip(sequence, sequence[1:])),
+                len(own),
+                sum(w in words for w in own),
+                sum(math.log10((words[w] + 1) / (sum(words.values()) + n + 1)) for w in own),
+                sum(math.log10(p(w, sequence[i : i + order - 1])) for i, w in enumerate(own)),
             )
         )
     vocabulary = [*words, "<unknown>"]
-    sums = [sum(bigram(v, w) for w in vocabulary) for v in ["<s>", *list(words)[:30], "<unknown>"]]
+    known = list(counts[order])[:30]
+    sums = [sum(p(w, h) for w in vocabulary) for h in [start, *(g[:-1] for g in known), (*start[1:], "<unknown>")]]
     assert all(abs(s - 1) < 1e-9 for s in sums)
     return out
 
 
-@pytest.mark.parametrize("part_bytes", [kneser_ney.PART_BYTES, 2000])
-def test_language_model_by_brute_force(spark, odd, monkeypatch, part_bytes):
+@pytest.mark.parametrize("order, part_bytes, files", [(2, kneser_ney.PART_BYTES, 1024), (2, 2000, 1024), (3, 1 << 24, 1024), (3, 20_000, 5), (4, 20_000, 1024)])
+def test_language_model_by_brute_force(spark, odd, monkeypatch, order, part_bytes, files):
     monkeypatch.setattr(kneser_ney, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(kneser_ney, "FILES", files)
     rng = np.random.default_rng(1)
     extra = [(500 + i, " ".join(rng.choice(list("abcdefgh") + ["The", "the"], 12)), "x") for i in range(80)]
     rows = corpus.odd_rows() + extra
     docs = corpus.documents(spark, rows).repartition(4)
     trained = lambda i: i is not None and i % 3 != 0
-    model = kneser_ney.train(docs, F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False)))
+    model = kneser_ney.train(docs, F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False)), order)
     got = corpus.pairs(kneser_ney.scored(docs, model), "doc_id", "n_tokens", "n_known", "base_score", "score")
-    scores = kneser_ney_scores([t for i, t, _ in rows if trained(i)], [t for _, t, _ in rows])
+    scores = kneser_ney_scores([t for i, t, _ in rows if trained(i)], [t for _, t, _ in rows], order)
     want = sorted([(i, *s) for (i, _, _), s in zip(rows, scores)], key=lambda t: tuple((x is None, str(x)) for x in t))
     by = lambda r: (r[0] is None, str(r[0]), r[1], r[2], round(r[3], 3), round(r[4], 3))
     for g, w in zip(sorted(got, key=by), sorted(want, key=by), strict=True):
         assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], rel=1e-9) and g[4] == pytest.approx(w[4], rel=1e-5)
 
 
-def test_language_model_without_training_rows(odd):
-    model = kneser_ney.train(odd, F.lit(False))
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_without_training_rows(odd, order):
+    model = kneser_ney.train(odd, F.lit(False), order)
     assert {(r.n_known, r.base_score, r.score) for r in kneser_ney.scored(odd, model).collect()} == {(0, 0.0, 0.0)}
 
 
@@ -454,3 +516,31 @@ def test_mix_draws_by_weight(spark):
     assert sum(r.mix.size * r.mix.copies for r in got) == pytest.approx(got[0].mix.target, abs=10)
     picked = Counter(r.good for r in got if r.mix.copies)
     assert 3.0 < picked[True] / picked[False] < 6.0
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "decimal(20,0)", "string"])
+def test_ids_of_any_type_have_long_texts(spark, kind):
+    text = corpus.words(random.Random(5), 9_000)
+    docs = spark.createDataFrame([(7, text), (8, "short"), (None, text)], "doc_id long, text string")
+    made = bpe_chunks.encode(docs.withColumn("doc_id", F.col("doc_id").cast(kind)), RANKS, PATTERN)
+    assert len(text) > bpe_chunks.CHUNK and made.schema["doc_id"].dataType.simpleString() == kind
+    want = tiktoken.Encoding("x", pat_str=PATTERN, mergeable_ranks=bpe_chunks.read_ranks(RANKS), special_tokens={}).encode_ordinary(text)
+    got = {None if r.doc_id is None else int(r.doc_id): list(r.ids) for r in made.collect()}
+    assert got[7] == got[None] == want and len(got) == 3
+
+
+def test_weights_of_any_size_are_told_apart(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('w', id) AS text", "'s' AS source", "if(id % 2 = 0, 1e7D, 1e9D) AS by")
+    taken = lambda w: {r.doc_id for r in es_mix.mixed(docs, w, weights=(1.0,)).where("mix.copies > 1").collect()}
+    # A source alone gets all of its size once; a second one with a larger weight makes it select.
+    other = spark.range(4000, 40_000).selectExpr("id AS doc_id", "concat('w', id) AS text", "'t' AS source", "1.0D AS by")
+    both = docs.unionByName(other)
+    copies = lambda w: {r.doc_id for r in es_mix.mixed(both, w, weights=(1.0, 20.0)).where("mix.copies > 0 AND source = 's'").collect()}
+    large, small = copies(F.col("by")), copies(F.col("by") / 1e9)
+    assert large == small and 1000 < len(large) < 3000
+    assert sum(i % 2 for i in large) > 0.9 * len(large)
+    extreme = copies(F.when(F.col("doc_id") % 2 == 0, F.col("by") * 0).otherwise(F.lit(float("inf"))))
+    assert sum(i % 2 for i in extreme) >= min(2000, len(extreme)) - 1
+    assert copies(F.lit(None)) == copies(F.lit(float("nan"))) == copies(F.lit(1.0))
+    assert copies(F.lit(-3.0)) == copies(F.lit(0.0)) == copies(F.lit(1.0))
+    assert taken(F.col("by")) == set()

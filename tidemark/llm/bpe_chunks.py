@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import python_workers, text_of
 
@@ -149,8 +150,7 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK) -> Data
             )
 
     kind = text.schema["doc_id"].dataType.simpleString()
-    id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    cut_schema = pa.schema([("row", pa.int64()), ("doc_id", id_type), ("k", pa.int32()), ("text", pa.string()), ("following", pa.int32())])
+    cut_schema = pa.schema([("row", pa.int64()), ("doc_id", to_arrow_type(text.schema["doc_id"].dataType)), ("k", pa.int32()), ("text", pa.string()), ("following", pa.int32())])
     parts = (
         text.where(long)
         .select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")

@@ -6,7 +6,7 @@ taken in key order until the source's token budget is used. A budget above the s
 size is first served by complete epochs; only the remainder is selected.
 
 The selection of a source is a prefix of its key order, so it is known by one cut key. Keys
-fall into blocks of equal width on a logarithmic scale, so a block holds about a thousandth
+fall into blocks of equal width on their logarithmic scale, so a block holds about a thousandth
 of its source at any scale of the weights. Block totals (one row per source and block) give
 the block in which the budget ends; only that block is ordered row by row. So no window
 holds more than a block, however large the source is, and texts are never shuffled: the
@@ -14,12 +14,18 @@ cuts (one row per source) are joined to the documents.
 
 Defined cases: a null text has size 0; a null source is a source of its own, the last one;
 a source of size 0 gets target 0 and its documents are taken 0 times over. Documents equal in id, source and
-text are one unit: they are taken together. An empty table gives an empty result.
-Keys depend on ``doc_id``, text and seed alone, so reruns agree.
+text are one unit: they are taken together. Weights of any positive size are told apart (keys are
+kept as logarithms). A null weight or NaN counts as 1, infinity as the largest double, and 0 or
+less as the smallest positive one: such documents are taken when nothing else is left. Equal keys
+are ordered by the draw, the id and the size. Very long texts are read whole; only their counts
+and digests are kept. Columns of ``docs`` may have any names; ``mix`` is replaced. An empty table
+gives an empty result. Keys depend on ``doc_id``, text and seed alone, so reruns agree.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -139,10 +145,11 @@ def cuts(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, se
 
 
 def _key(u: Column, weight: Column) -> list[Column]:
-    """The exponential key, its block, and the draw that breaks ties of rounded keys."""
-    w = F.greatest(F.least(F.coalesce(weight.cast("double"), F.lit(1.0)), F.lit(1e6)), F.lit(1e-6))
-    key = -F.log(u) / w
-    return [key.alias("key"), F.floor(F.log2(key) * BLOCKS).cast("int").alias("block"), u.alias("u")]
+    """The logarithm of the exponential key, its block, and the draw that breaks ties of rounded keys."""
+    w = F.coalesce(F.nanvl(weight.cast("double"), F.lit(1.0)), F.lit(1.0))
+    w = F.greatest(F.least(w, F.lit(sys.float_info.max)), F.lit(math.ulp(0.0)))
+    key = F.log(-F.log(u)) - F.log(w)
+    return [key.alias("key"), F.floor(key / math.log(2) * BLOCKS).cast("int").alias("block"), u.alias("u")]
 
 
 def mixed(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1) -> DataFrame:

@@ -21,8 +21,9 @@ the smallest hashes of their ids, some of them as queries. The radius is the one
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or have not
 the most frequent length (the smaller, if tied) take no part, nor do rows without an id. Rows
-that repeat an id count once, with the smallest of their vectors. Ties go to the smaller id.
-An empty table gives an empty result.
+equal in id and vector count once. Rows that repeat an id with unlike vectors are candidates
+each, also of one another; the query of such an id is its smallest vector. Ties go to the
+smaller id. Other columns are neither read nor returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -115,15 +116,14 @@ def best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarra
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """``vec_id, vector`` of the rows that take part, one per id."""
+    """``vec_id, vector`` of the rows that may take part, equal ones once."""
     good = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).where(
         F.col("vec_id").isNotNull()
         & F.col("vector").isNotNull()
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
-    one = good.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    return written(one, "ann-vectors")
+    return written(good.distinct(), "ann-vectors")
 
 
 def train(vectors: DataFrame, k: int, bits: int = BITS, sample: int = SAMPLE) -> Index | None:
@@ -131,7 +131,7 @@ def train(vectors: DataFrame, k: int, bits: int = BITS, sample: int = SAMPLE) ->
     norm = vectors.agg(F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
     if not norm:
         return None
-    some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+    some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample).collect()
     x = np.array([r.vector for r in some])
     plain = Index(np.empty((0, 0)), norm * (1 + 1e-12), bits)
     scaled = x / plain.norm
@@ -165,6 +165,8 @@ def _search(queries: DataFrame, vectors: DataFrame, index: Index, radius: int, k
             for a, (i, j) in zip(range(0, len(q), 128), found):
                 i = i + a
                 other = q_ids[i] != r_ids[j]
+                same = np.flatnonzero(~other)
+                other[same] = (q[i[same]] != r[j[same]]).any(axis=1)
                 i, j = i[other], j[other]
                 score = products(q[i], r[j])
                 top = best(i, r_ids[j], score, k)
@@ -189,11 +191,11 @@ def neighbours(rows: DataFrame, wanted: Column, k: int, bits: int = BITS, radius
     if not lengths:
         return empty
     vectors = everyone.where(F.size("vector") == lengths[0].length)
-    n, n_queries = vectors.agg(F.count("*"), F.count(F.when(wanted, 1))).first()
+    n, n_queries = vectors.agg(F.count("*"), F.countDistinct(F.when(wanted, F.col("vec_id")))).first()
     index = train(vectors, k, bits)
     if index is None or not n_queries:
         return empty
-    queries = vectors.where(wanted)
+    queries = written(vectors.where(wanted).groupBy("vec_id").agg(F.min("vector").alias("vector")), "ann-queries")
     blocks, query_blocks = -(-n // ROWS), -(-n_queries // QUERIES)
     reach = index.radius if radius is None else radius
     found = written(_search(queries, vectors, index, reach, k, blocks, query_blocks), "ann-found")

@@ -90,7 +90,8 @@ WITH RECURSIVE parsed AS (
   SELECT host, count(*) AS n, count(*) FILTER (fit.said = 'allow') AS allowed, count(*) FILTER (fit.said = 'block') AS blocked
   FROM judged WHERE host <> '' GROUP BY host
 ), seeds AS (
-  SELECT CASE WHEN 2 * allowed > n THEN 'trust' ELSE 'distrust' END AS kind, host FROM hosts WHERE 2 * allowed > n OR 2 * blocked > n
+  SELECT 'trust' AS kind, host, allowed / n::DOUBLE AS weight FROM hosts WHERE allowed > 0
+  UNION ALL SELECT 'distrust', host, blocked / n::DOUBLE FROM hosts WHERE blocked > 0
 ), edges AS (
   SELECT src, dst, count(*) AS n FROM (
     SELECT DISTINCT page_id, host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)),
@@ -101,24 +102,30 @@ WITH RECURSIVE parsed AS (
 ), step AS (
   SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM directed
 ), state(round, kind, host, rank) AS (
-  SELECT 0, kind, host, 1 - 0.85::DOUBLE FROM seeds
+  SELECT 0, kind, host, (1 - 0.85::DOUBLE) * weight FROM seeds
   UNION ALL
   SELECT round, kind, host, sum(rank) FROM (
     SELECT s.round + 1 AS round, s.kind, t.dst AS host, share * rank * 0.85::DOUBLE AS rank
     FROM state s JOIN step t ON s.kind = t.kind AND s.host = t.src
-    UNION ALL SELECT r.round + 1, seeds.kind, seeds.host, 1 - 0.85::DOUBLE FROM (SELECT DISTINCT round FROM state) r, seeds
-  ) WHERE round <= 20 GROUP BY round, kind, host
+    UNION ALL SELECT r.round + 1, seeds.kind, seeds.host, (1 - 0.85::DOUBLE) * weight FROM (SELECT DISTINCT round FROM state) r, seeds
+  ) WHERE round <= 200 GROUP BY round, kind, host
 ), ranks AS (
-  SELECT kind, host, rank / sum(rank) OVER (PARTITION BY kind) AS share FROM state WHERE round = 20
+  SELECT kind, host, rank / sum(rank) OVER (PARTITION BY kind) AS share, sum(rank) OVER (PARTITION BY kind) AS whole
+  FROM state WHERE round = 200
 ), everyone AS (
   SELECT host FROM hosts UNION SELECT dst FROM edges
-), verdicts AS (
+), shares AS (
   SELECT e.host, round(coalesce(t.share, 0), 12) AS trust, round(coalesce(d.share, 0), 12) AS distrust,
+    CASE WHEN 2 * h.allowed <= h.n THEN coalesce(h.allowed / h.n::DOUBLE * (1 - 0.85::DOUBLE) / t.whole, 0) ELSE 0 END AS own_trust,
+    CASE WHEN 2 * h.blocked <= h.n THEN coalesce(h.blocked / h.n::DOUBLE * (1 - 0.85::DOUBLE) / d.whole, 0) ELSE 0 END AS own_distrust,
     (SELECT count(*) FROM everyone) AS n
-  FROM everyone e LEFT JOIN ranks t ON t.host = e.host AND t.kind = 'trust' LEFT JOIN ranks d ON d.host = e.host AND d.kind = 'distrust'
+  FROM everyone e LEFT JOIN hosts h ON h.host = e.host
+    LEFT JOIN ranks t ON t.host = e.host AND t.kind = 'trust' LEFT JOIN ranks d ON d.host = e.host AND d.kind = 'distrust'
+), verdicts AS (
+  SELECT host, trust, distrust, n, round(trust - own_trust, 12) AS t, round(distrust - own_distrust, 12) AS d FROM shares
 )
 SELECT page_id, j.host, path, fit.rule AS rule,
-  coalesce(fit.said, CASE WHEN distrust * n >= 0.5 AND distrust >= 0.5 * (trust + distrust) AND distrust > 0 THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(fit.said, CASE WHEN d * n >= 0.5 AND d >= 0.5 * (t + d) AND d > 0 THEN 'block' ELSE 'allow' END) AS verdict,
   coalesce(trust, 0.0::DOUBLE) AS trust, coalesce(distrust, 0.0::DOUBLE) AS distrust
 FROM judged j LEFT JOIN verdicts v ON v.host = j.host
 """.replace("{link}", LINK.replace("'", "''"))

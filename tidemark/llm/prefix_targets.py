@@ -112,8 +112,15 @@ def turns_of(text: Column) -> Column:
     return F.transform(F.slice(chunks, F.lit(2), F.size(chunks)), turn)
 
 
+def trained_text() -> Column:
+    """The text under the loss mask of an example of ``texts``, unescaped."""
+    return unescaped(
+        F.substring(F.col("text"), (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    )
+
+
 def loss_text(text: Column, examples: Column) -> Column:
-    """All text under the loss masks, unescaped, nothing between."""
+    """All text under the loss masks of ``formatted``, unescaped, nothing between."""
     cut = lambda e: unescaped(
         F.substring(text, (e["loss_start"] + 1).cast("int"), (e["loss_end"] - e["loss_start"]).cast("int"))
     )

@@ -3,7 +3,9 @@
 Every feature of a text falls into a bin. Shallow trees over the bins of one feature are
 boosted in turns, feature by feature, each adding a small step to that feature's lookup
 table; then trees over the bins of two features do the same for the pairs that explain most
-of what is left. A score is the logistic of the sum of the looked-up values.
+of what is left. A score is the logistic of the sum of the looked-up values; with ``cut``, the
+sum is moved so that a text as likely under either label, both labels weighed alike, scores
+``cut``. Else a rare label is only predicted where it outweighs its rarity.
 
 Features are computed in Spark for whole texts. The model is fitted on a bounded sample:
 the ``SAMPLE`` labelled rows with the smallest hashes of their ids. That bound keeps the fit
@@ -12,7 +14,9 @@ the ``SAMPLE`` labelled rows with the smallest hashes of their ids. That bound k
 Defined cases: null and empty texts have all features 0 and get the score of those bins. Labels that are
 null are ignored; several labels of a document count separately. Without any label the score
 is 0.5; with labels of one kind only, it is their smoothed share. Equal texts get equal
-scores. An empty table gives an empty result.
+scores; repeated rows and null ids are kept row by row. Features of a very long text are those
+of the whole text; it has to fit a row. Other columns are neither read nor returned. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -73,6 +77,7 @@ class Model:
     tables: np.ndarray  # feature, bin
     pairs: list[tuple[int, int]]
     pair_tables: np.ndarray  # pair, coarse bin, coarse bin
+    shift: float = 0.0
 
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1)
@@ -86,7 +91,7 @@ class Model:
         return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.margins(x), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.margins(x) + self.shift, -30, 30)))
 
 
 def _gain(g, h):
@@ -141,8 +146,8 @@ def pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
     return best, values
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    """The model of feature rows ``x`` and labels ``y`` (0 or 1)."""
+def fit(x: np.ndarray, y: np.ndarray, cut: float | None = None) -> Model:
+    """The model of feature rows ``x`` and labels ``y`` (0 or 1); ``cut`` parts the labels."""
     k = len(FEATURES)
     quantiles = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = [np.unique(np.quantile(x[:, j], quantiles)) if len(x) else np.empty(0) for j in range(k)]
@@ -150,6 +155,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     model = Model(float(np.log(share / (1 - share))), edges, np.zeros((k, BINS)), [], np.zeros((0, PAIR_BINS, PAIR_BINS)))
     if len(y) == 0 or y.min() == y.max():
         return model
+    if cut is not None:
+        model.shift = float(np.log(cut / (1 - cut))) - model.intercept
     at = model.bins(x)
     margin = np.full(len(y), model.intercept)
 
@@ -189,7 +196,7 @@ def feature_rows():
     return rows
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float | None = None) -> Model:
     """Fits ``labels`` (doc_id, label) on the texts of ``docs``."""
     python_workers(docs.sparkSession)
     chosen = (
@@ -206,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = pairs.select("place", "doc_id", "label", feature_rows()("text").alias("x")).orderBy("place", "doc_id", "label", "x").limit(sample)
     found = rows.select("x", "label").collect()
     x = np.array([r.x for r in found], float).reshape(-1, len(FEATURES))
-    return fit(x, np.array([r.label for r in found], float))
+    return fit(x, np.array([r.label for r in found], float), cut)
 
 
 def scorer(model: Model):

@@ -16,35 +16,42 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 KEEP_SCORE, TOXIC_SCORE = 0.3, 0.5
+LM_ORDER = 3
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return url_trust.filtered(pages, converged=True)
+    return url_trust.filtered(pages)
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     ok = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], chats.schema)
-    turns = prefix_targets.turns_of(F.col("text"))
-    said = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = prefix_targets.loss_text(F.col("text"), F.col("examples"))
-    chars = F.aggregate("examples", F.lit(0).cast("long"), lambda a, e: a + e["end"])
-    return prefix_targets.formatted(chats.unionByName(probe)).select(
+    examples = prefix_targets.texts(chats.unionByName(probe))
+    # The last example holds the whole conversation, every other a prefix of it.
+    read = examples.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("text"),
+        F.sort_array(F.collect_list(F.struct("example", prefix_targets.trained_text().alias("loss")))).alias("replies"),
+        F.sum(F.length("text").cast("long")).alias("formatted_chars"),
+    )
+    turns = read.select("*", prefix_targets.turns_of(F.col("text")).alias("turns"))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = turns.select("*", F.array_join(said, "").alias("said"), F.array_join("replies.loss", "").alias("loss"))
+    return loss.select(
         "conv_id",
-        F.size(turns).cast("long").alias("n_turns"),
-        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
-        chars.alias("formatted_chars"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2("said", 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
     )
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality_gam.Model:
     """Fitted on the labelled rows that are not held out."""
     known = labels.select("doc_id", F.col("quality").alias("label")).where(remainder("doc_id", 5) != 0)
-    return quality_gam.train(docs, known)
+    return quality_gam.train(docs, known, cut=KEEP_SCORE)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +81,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    model = kneser_ney.train(docs, remainder("doc_id", 7) != 2)
+    model = kneser_ney.train(docs, remainder("doc_id", 7) != 2, LM_ORDER)
     return kneser_ney.scored(docs, model).select(
         "doc_id",
         (remainder("doc_id", 7) == 2).alias("held_out"),

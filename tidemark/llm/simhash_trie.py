@@ -267,14 +267,21 @@ def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int =
     rows, of = grouped(docs, shingle, distance, UNIT)
     kept_id, kept_fp, own_fp = (unused(docs, name) for name in ("kept_id", "kept_fp", "own_fp"))
     kept = of.where(F.col("first").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id").agg(F.min("of").alias(kept_fp))
-    # Only rows without an id, and those whose id has several fingerprints, are told apart by their own.
-    unlike = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-    unlike = written(unlike.where("low < high").select("doc_id"), "simhash-unlike")
+    # Only rows without an id, and those whose id has several fingerprints, are told apart by their
+    # own; only texts of ids that repeat are shuffled.
+    by_id = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"))
+    again = written(by_id.where("n > 1").select("doc_id", (F.col("low") < F.col("high")).alias("unlike")), "simhash-again")
+    unlike = again.where("unlike").select("doc_id")
     named = kept.where("component_id IS NOT NULL").select(F.col("component_id").alias(kept_id), kept_fp)
-    named = named.join(unlike, F.col(kept_id) == F.col("doc_id"), "left").select(kept_id, kept_fp, F.col("doc_id").isNotNull().alias("several"))
+    named = named.join(again, F.col(kept_id) == F.col("doc_id"), "left").select(
+        kept_id, kept_fp, F.col("doc_id").isNotNull().alias("repeated"), F.coalesce("unlike", F.lit(False)).alias("several")
+    )
     named = written(named, "simhash-kept")
     nameless = written(kept.where("component_id IS NULL").select(kept_fp), "simhash-nameless")
-    out = docs.join(named.where("NOT several").select(kept_id), F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id"])
+    rows_of = lambda some: docs.join(named.where(some).select(kept_id), F.col("doc_id") == F.col(kept_id), "left_semi")
+    out = rows_of("NOT repeated")
+    if not again.isEmpty():
+        out = out.unionByName(rows_of("repeated AND NOT several").dropDuplicates(["doc_id"]))
     own = fingerprints(shingle)(F.col("text").cast("binary"))
     if not unlike.isEmpty():
         several = named.where("several").select(kept_id, kept_fp)

@@ -2,29 +2,29 @@
 
 Rules judge a url where one fits. The other urls are judged by their host: trust flows from
 trusted seed hosts along links (personalised PageRank), distrust flows from blocked seed
-hosts against the links (a host that links to blocked hosts is suspect). A host is trusted
-or blocked as a seed if the rules allow or block more than half of its pages. It is blocked
-if its distrust is at least ``FLOOR`` of an average host's and makes up at least
-``THRESHOLD`` of its trust and distrust together (each as a share of its total); otherwise
-its pages are allowed.
+hosts against the links (a host that links to blocked hosts is suspect). A host seeds trust and
+distrust by the shares of its pages that the rules allow and block. A host is blocked if its
+distrust is at least ``FLOOR`` of an average host's and makes up at least ``THRESHOLD`` of its
+trust and distrust together (each as a share of its total); otherwise its pages are allowed.
+There, what a host itself seeds counts only if the rules judge more than half of its pages that
+way: a few blocked pages are no verdict on the others, but on hosts that link there.
 
 Host edges are counted by page before they are shuffled, so a host with a third of all pages
 costs one row per linked host and task. The state of a round is written to the shared
 folder. Relative links stay on their host and make no edge.
 
-With ``converged``, as in the registered query, rounds go on until all ranks together move by
-at most ``TOLERANCE`` of their sum; it is an error if ``MOST_ROUNDS`` do not reach that. The
-SQL twin does 20 rounds. Without ``converged`` it is the same here (``ROUNDS``), with a warning
-if ranks were still moving.
+Rounds go on until all ranks together move by at most ``TOLERANCE`` of their sum; it is an error
+if ``MOST_ROUNDS`` do not reach that.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule
-and is allowed, as an empty host has no links. Null html has no links. Repeated rows are
-judged alike. An empty table gives an empty result.
+and is allowed, as an empty host has no links. Null html has no links; very long html is searched
+whole. Of rules that are equally long the one with the longer host counts, then the one that comes
+last by verdict, host and path. Repeated rows are judged alike and count as pages of their own.
+Other columns are neither read nor returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +41,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 LINK = r"""(?i)\s(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
-DAMPING, ROUNDS, TOLERANCE = 0.85, 20, 1e-6
+DAMPING, TOLERANCE = 0.85, 1e-6
 #: Rounds in which ranks must meet the tolerance; 0.85 ** 200 is below 1e-14.
 MOST_ROUNDS = 200
 FLOOR, THRESHOLD = 0.5, 0.5
@@ -88,10 +88,10 @@ def host_edges(judged: DataFrame) -> DataFrame:
     )
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, converged: bool = False) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Trust along the edges and distrust against them: ``kind, host, rank``.
 
-    ``seeds`` is ``kind`` (trust or distrust) and ``host``. A host without links passes
+    ``seeds`` is ``kind`` (trust or distrust), ``host`` and ``weight``. A host without links passes
     nothing on; returning that to the seeds would scale all ranks of a kind alike.
     """
     along = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n")
@@ -101,9 +101,9 @@ def propagated(edges: DataFrame, seeds: DataFrame, converged: bool = False) -> D
     step = written(
         both.join(degree, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("of")).alias("share")), "trust-edges"
     )
-    start = written(seeds.select("kind", "host", F.lit(1 - DAMPING).alias("rank")), "trust-seeds")
+    start = written(seeds.select("kind", "host", ((1 - DAMPING) * F.col("weight")).alias("rank")), "trust-seeds")
     state = start
-    for _ in range(MOST_ROUNDS if converged else ROUNDS):
+    for _ in range(MOST_ROUNDS):
         sent = step.join(state.withColumnRenamed("host", "src"), ["kind", "src"]).groupBy("kind", F.col("dst").alias("host"))
         new = start.unionByName(sent.agg((F.sum(F.col("share") * F.col("rank")) * DAMPING).alias("rank")))
         new = written(new.groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "trust-state")
@@ -114,22 +114,20 @@ def propagated(edges: DataFrame, seeds: DataFrame, converged: bool = False) -> D
         state = new
         if (gap or 0.0) <= TOLERANCE * (weight or 0.0):
             return state
-    if converged:
-        raise RuntimeError(f"ranks still move after {MOST_ROUNDS} rounds")
-    warnings.warn(f"ranks still move after {ROUNDS} rounds", stacklevel=2)
-    return state
+    raise RuntimeError(f"ranks still move after {MOST_ROUNDS} rounds")
 
 
-def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float = FLOOR, converged: bool = False) -> DataFrame:
+def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float = FLOOR) -> DataFrame:
     """``host, trust, distrust, verdict`` of every host with pages or links to it."""
     said = lambda verdict: F.sum((F.coalesce("ruled", F.lit("")) == verdict).cast("long"))
     hosts = written(
         judged.where("host != ''").groupBy("host").agg(F.count("*").alias("pages"), said("allow").alias("allow"), said("block").alias("block")),
         "trust-hosts",
     )
-    kind = F.when(2 * F.col("allow") > F.col("pages"), "trust").when(2 * F.col("block") > F.col("pages"), "distrust")
+    seed = lambda kind, of: F.struct(F.lit(kind).alias("kind"), (F.col(of) / F.col("pages")).alias("weight"))
+    seeds = hosts.select("host", F.inline(F.array(seed("trust", "allow"), seed("distrust", "block")))).where("weight > 0")
     edges = written(host_edges(judged), "trust-links")
-    ranks = propagated(edges, hosts.select(kind.alias("kind"), "host").where("kind IS NOT NULL"), converged)
+    ranks = propagated(edges, seeds)
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     each = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     everyone = hosts.select("host").union(edges.select("dst")).distinct()
@@ -142,16 +140,24 @@ def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, floor: float
     all_trust, all_distrust, n = totals.first()
     share = lambda part, whole: F.round(F.coalesce(part, F.lit(0.0)) / F.lit(whole or 1.0), 12)
     trust, distrust = share(F.col("trust"), all_trust), share(F.col("distrust"), all_distrust)
-    bad = (distrust * n >= floor) & (distrust >= threshold * (trust + distrust)) & (distrust > 0)
-    return everyone.join(each, "host", "left").select(
+
+    def judged_by(rank: Column, of: str, whole: float | None) -> Column:
+        """The share a host is judged by: without its own seed if that is a minority of its pages."""
+        minor = F.col(of) / F.col("pages")
+        own = F.when(minor <= 0.5, minor * (1 - DAMPING) / F.lit(whole or 1.0)).otherwise(0.0)
+        return F.round(rank - F.coalesce(own, F.lit(0.0)), 12)
+
+    t, d = judged_by(trust, "allow", all_trust), judged_by(distrust, "block", all_distrust)
+    bad = (d * n >= floor) & (d >= threshold * (t + d)) & (d > 0)
+    return everyone.join(each, "host", "left").join(hosts, "host", "left").select(
         "host", trust.alias("trust"), distrust.alias("distrust"), F.when(bad, "block").otherwise("allow").alias("host_verdict")
     )
 
 
-def filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, converged: bool = False) -> DataFrame:
+def filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` of every page."""
     judged = ruled(pages, rules)
-    hosts = written(host_verdicts(judged, converged=converged), "trust-verdicts")
+    hosts = written(host_verdicts(judged), "trust-verdicts")
     return judged.drop("html").join(hosts, "host", "left").select(
         "page_id",
         "host",
