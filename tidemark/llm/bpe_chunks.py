@@ -13,8 +13,9 @@ are put together by slicing arrays. Chunks of one document may run on any execut
 concatenates the bytes of the ids.
 
 Defined cases: a null text is empty; an empty text has no ids and decodes to no bytes; a
-text without white space is one chunk. Repeated rows and null ids are kept row by row. An
-empty table gives none. Special tokens in a text are ordinary text.
+text without white space is one chunk. Repeated rows and null ids are kept row by row; ids may be
+of any type. Other columns are neither read nor returned. An empty table gives none. Special
+tokens in a text are ordinary text.
 """
 
 from __future__ import annotations

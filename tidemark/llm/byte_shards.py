@@ -14,7 +14,9 @@ A group of equal texts stays in one shard if it is at most ``slack`` of a shard;
 groups are cut where the balance asks for it.
 
 Defined cases: a null text has no bytes (size 1, checksum 0) and groups with empty ones. An
-empty table gives an empty result. Repeated rows each get a slot of their own.
+empty table gives an empty result. Repeated rows each get a slot of their own, in either order.
+Of a very long text only its size and hashes are moved; one longer than a shard's share makes
+that shard so much longer. Other columns are neither read nor returned.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Base: a document fails with fewer than 10 words, or if more than 20 % of its wor
 
 Defined cases: a null or empty text has no words, all counts 0, measures null, and fails the
 base rule. Repeated rows are judged alike. Words without letters count as script ``other``;
-ties go to the script named first in ``BANDS``. An empty table gives none.
+ties go to the script named first in ``BANDS``. A very long text is measured whole. An empty table
+gives none.
 """
 
 from __future__ import annotations

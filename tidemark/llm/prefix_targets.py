@@ -13,8 +13,9 @@ backslash after their first character, backslashes are doubled, and new lines in
 become ``<|line|>``; ``turns_of`` undoes all of it.
 
 Defined cases: a null text or role is empty; null turns come first; equal turns are ordered
-by role and text; a null conversation id is a conversation. An empty table gives none.
-A conversation must fit a row, as its rendering is one.
+by role and text; repeated turns are kept; a null conversation id is a conversation. An empty
+table gives none. A conversation must fit a row, as its rendering is one. Other columns are
+neither read nor returned.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ shared folder. Equal fingerprints are one leaf, so copies cost nothing beyond th
 Defined cases: a text with fewer words than a shingle has its whole word sequence as its one
 shingle; a null text, or one without words, has fingerprint zero, linked like any other.
 Rows with a null id are linked too; a component's id is its smallest non-null id. Repeated
-rows share a component. An empty table gives none.
+rows share a component; ties of ids are broken by the fingerprint. A very long text is hashed
+whole and has to fit a row. Columns of ``docs`` may have any names. An empty table gives none.
 """
 
 from __future__ import annotations
