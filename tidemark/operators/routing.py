@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +27,46 @@ def binding_regex(pattern: str) -> str:
     return f"^{text}$"
 
 
+class BindingTrie:
+    """Topic patterns as one trie of words; ``*`` is one word, ``#`` any number.
+
+    A topic walks all patterns at once: the places it can be in are a set of nodes.
+    """
+
+    def __init__(self, patterns: Iterable[str]):
+        self._root: dict = {}
+        for pattern in patterns:
+            node = self._root
+            for word in pattern.split("."):
+                node = node.setdefault(word, {})
+            node[""] = {}  # a pattern ends here; no word is empty
+
+    def takes(self, topic: str) -> bool:
+        """Whether any pattern takes the topic."""
+        places = self._rest([self._root])
+        for word in topic.split("."):
+            step = []
+            for node in places:
+                step += [node[w] for w in {word, "*"} - {"", "#"} if w in node]
+                if "_many" in node:
+                    step.append(node)
+            places = self._rest(step)
+        return any("" in node for node in places)
+
+    @staticmethod
+    def _rest(nodes: list[dict]) -> list[dict]:
+        """The nodes, and those reached by a ``#`` that stands for no word."""
+        out, todo = [], list(nodes)
+        while todo:
+            node = todo.pop()
+            if not any(node is o for o in out):
+                out.append(node)
+                if "#" in node:
+                    node["#"]["_many"] = {}  # it may take further words
+                    todo.append(node["#"])
+        return out
+
+
 def fan_out(events: DataFrame, bindings: Mapping[str, str]) -> DataFrame:
     """One copy of each event per subscriber whose binding takes its routing key.
 

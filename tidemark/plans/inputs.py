@@ -17,6 +17,7 @@ from tidemark.operators.change import MAPPING_ERROR, rejected, judged
 from tidemark.schemas import LEDGER, RECORD
 from tidemark.session import pin_utc, shared_dir
 from tidemark.sources import numbered, page_plan
+from tidemark.sources.tables import parquet_table
 
 # Fixed values shared with the SQL side.
 PAGE_ROWS = 500
@@ -41,6 +42,10 @@ TABLES = {
 }
 
 
+# Where an application has stored the rows of an input folder.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = pin_utc(spark), sf_dir
@@ -82,10 +87,16 @@ class Inputs:
         )
 
     def stored(self) -> DataFrame:
-        """The rows as a table of files, so that cursors reach the scan as pushed filters."""
-        rows, path = self.rec(), shared_dir(self.spark, "rec")
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        """The rows as a table of files, so that cursors reach the scan as pushed filters.
+
+        Written once per application.
+        """
+        rows, key = self.rec(), (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STORED:
+            path = shared_dir(self.spark, "rec")
+            rows.write.parquet(path)
+            _STORED[key] = path
+        return parquet_table(self.spark, _STORED[key], rows.schema)
 
     def records(self) -> DataFrame:
         """``rec`` in the library's record schema, as the jobs read it."""

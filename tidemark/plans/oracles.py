@@ -507,6 +507,12 @@ FROM events""",
     "dead_letter_job": """
 SELECT source_record_id, sink, external_id, 'mapper_parsing_exception: bad amount N/A' AS error,
   attempt_count, status FROM dlq""",
+    "subscription_backlog": """
+SELECT subscriber, 'record.' || op AS routing_key, CAST(count(*) * max(times) AS BIGINT) AS n
+FROM (SELECT CASE WHEN deleted_at IS NOT NULL THEN 'deleted' WHEN version > 1 THEN 'updated' ELSE 'created' END AS op FROM rec),
+  (SELECT unnest(['all', 'removals', 'any_record']) AS subscriber, unnest([1, 2, 2]) AS times)
+WHERE subscriber <> 'removals' OR op = 'deleted'
+GROUP BY subscriber, op""",
     "store_lookup": f"{_STATE} WHERE country = 'NATION_3' AND company = 'BUILDING'",
     "run_outcomes": """
 SELECT mode, CAST(1 AS BIGINT) AS batch_id, count(*) AS n_rows, count(*) FILTER (NOT bad) AS indexed,

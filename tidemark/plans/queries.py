@@ -12,6 +12,7 @@ from tidemark import functions as fn
 from tidemark.jobs import replicate
 from tidemark.jobs import store as st
 from tidemark.jobs.search_index import SearchIndex
+from tidemark.jobs.subscriptions import Subscriptions
 from tidemark.operators import bulk, change, deadletter, dedupe, mutate, reconcile, report, routing
 from tidemark.operators import search as find
 from tidemark.operators import state
@@ -32,6 +33,7 @@ from tidemark.sources import (
 )
 from tidemark.sources.cursor import WATERMARK
 from tidemark.sources.numbering import with_page
+from tidemark.sources.tables import parquet_table
 from tidemark.streaming import consumer, rates
 from tidemark.streaming.replicate import replicate_stream
 
@@ -664,7 +666,7 @@ def _written_source(t: Inputs) -> replicate.Source:
     """The source table as files sorted by id, so that a chunk reads its own row groups."""
     path = shared_dir(t.spark, "source")
     t.records().repartitionByRange("id").sortWithinPartitions("id").write.parquet(path)
-    return lambda: t.spark.read.schema(replicate.RECORD).parquet(path)
+    return lambda: parquet_table(t.spark, path)
 
 
 @query
@@ -700,6 +702,23 @@ def dead_letter_job(t):
     )
 
 
+@query
+def subscription_backlog(t):
+    """What subscribers receive of the events of both workers, the second after the first was acknowledged."""
+    source = _written_source(t)
+    store = st.Store.create(t.spark, shared_dir(t.spark, "store"))
+    subs = Subscriptions(store)
+    for name, pattern in {"all": "#", "removals": "record.deleted", "any_record": "record.*"}.items():
+        subs.subscribe(name, pattern)
+    replicate.run_backfill(store, source)
+    subs.publish()
+    subs.acknowledge("all", subs.poll("all").upto)
+    replicate.run_incremental(store, source)
+    subs.publish()
+    found = [subs.poll(name).events.withColumn("subscriber", F.lit(name)) for name in ("all", "removals", "any_record")]
+    return dedupe.union_feeds(*found).groupBy("subscriber", "routing_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def store_lookup(t):
     """Documents of one nation and segment, by key from a compacted store."""
