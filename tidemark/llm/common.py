@@ -49,6 +49,28 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if it has more than this share of the rows: there are at most 10 000 such keys.
+HOT_SHARE = 1e-4
+
+
+def spread_join(rows: DataFrame, key: str, salt: Column, unique: DataFrame, of: str, counts: DataFrame) -> DataFrame:
+    """``rows`` joined on ``key`` with ``unique``, which has one row per value of ``of``.
+
+    The rows of a hot key are dealt over all shuffle partitions by ``salt``, a number that a task
+    that runs again finds again; the one row they meet is there once for each. ``counts`` (key, n)
+    tells which keys are hot. They are broadcast: 8 bytes each, at most ``1 / HOT_SHARE``.
+    """
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("n") > HOT_SHARE * total).select(F.col("key").alias("hot_key")))
+    is_hot = F.col("hot_key").isNotNull()
+    own = F.when(is_hot, F.pmod(salt, F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(hot, F.col(key) == F.col("hot_key"), "left").withColumn("salt", own).drop("hot_key")
+    right = unique.join(hot, F.col(of) == F.col("hot_key"), "left").withColumn("salt_of", F.explode(every)).drop("hot_key")
+    return left.join(right, (F.col(key) == F.col(of)) & (F.col("salt") == F.col("salt_of"))).drop("salt", "salt_of")
+
+
 def python_workers(spark: SparkSession, rows: int = 1000) -> None:
     """Let workers import this package, and hand them at most ``rows`` rows or 64 MB at once.
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import python_workers, unused, written
+from tidemark.llm.common import python_workers, spread_join, unused, written
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Leaves of a unit's side, leaves compared directly, and comparisons made at once.
@@ -237,25 +237,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, shingle: int, distance: int, unit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows ``doc_id, fp``; and for each fingerprint ``of, first, root, component_id``: the smallest
-    id that has it, the smallest fingerprint of its group, and the smallest id of its group."""
+    """Rows ``doc_id, fp``; and for each fingerprint ``of, first, n, root, component_id``: the smallest
+    id that has it, its rows, the smallest fingerprint of its group, and the smallest id of its group."""
     if not 0 <= distance < 16:
         raise ValueError("distance must be from 0 to 15")
     python_workers(docs.sparkSession)
     rows = written(docs.select("doc_id", fingerprints(shingle)(F.col("text").cast("binary")).alias("fp")), "simhash-prints")
-    prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "simhash-distinct")
     found = written(links(prints.select("fp"), distance, unit), "simhash-links")
     roots = components(found)
-    known = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = known.join(smallest, "root").select(F.col("fp").alias("of"), "first", "root", "component_id")
-    return rows, written(of, "simhash-components")
+    known = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
+    known = written(known, "simhash-known")
+    smallest = written(known.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")), "simhash-groups")
+    sizes = smallest.select(F.col("root").alias("key"), "n")
+    groups = smallest.select(F.col("root").alias("group"), "component_id")
+    of = spread_join(known, "root", F.xxhash64("fp"), groups, "group", sizes)
+    return rows, written(of.select(F.col("fp").alias("of"), "first", "n", "root", "component_id"), "simhash-components")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, unit: int = UNIT) -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs``."""
     rows, of = grouped(docs, shingle, distance, unit)
-    return rows.join(of, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
+    copies = of.select(F.col("of").alias("key"), "n")
+    return spread_join(rows, "fp", F.monotonically_increasing_id(), of, "of", copies).select("doc_id", "fp", "component_id")
 
 
 def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
