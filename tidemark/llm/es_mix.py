@@ -7,7 +7,7 @@ size is first served by complete epochs; only the remainder is selected.
 
 The selection of a source is a prefix of its key order, so it is known by one cut key. Keys
 fall into blocks of equal width on their logarithmic scale, so a block holds about a thousandth
-of its source at any scale of the weights. Block totals (one row per source and block) give
+of its source, or some ``BLOCK_ROWS`` rows if that is less, at any scale of the weights. Block totals (one row per source and block) give
 the block in which the budget ends; only that block is ordered row by row. So no window
 holds more than a block, however large the source is, and texts are never shuffled: the
 cuts (one row per source) are joined to the documents.
@@ -36,8 +36,8 @@ from tidemark.llm.common import n_words, text_of, unused, written
 #: Weights of the sources in code-point order, repeated.
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Key blocks per doubling of the key.
-BLOCKS = 256
+#: Key blocks per doubling of the key, at least; more where a block would hold more rows than this.
+BLOCKS, BLOCK_ROWS = 256, 100_000
 #: Characters that lower a document's quality weight.
 SYMBOLS = "#*$%&|<>"
 #: Up to this many sources, the cuts (some 60 bytes each) are broadcast; beyond, joined.
@@ -89,14 +89,14 @@ def quality_weight() -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.lit(4.0) * symbols / F.greatest(n_words(), F.lit(1)))
 
 
-def cuts(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1) -> DataFrame:
+def cuts(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1, blocks: int = BLOCKS) -> DataFrame:
     """Per source: its size and target, complete epochs, and the last key selected beyond them.
 
     ``docs`` has ``doc_id, text, source`` and whatever ``weight`` needs. A document is
     selected if at least half of it fits into what is left of the budget.
     """
     # Written before it is filtered: a filter below would go through the texts once more.
-    keyed = docs.select("source", n_words().alias("size"), *_key(uniform(seed), weight), "doc_id")
+    keyed = docs.select("source", n_words().alias("size"), *_key(uniform(seed), weight, blocks), "doc_id")
     keyed = written(keyed, "mix-keys").where("size > 0")
     totals = written(keyed.groupBy("source", "block").agg(F.sum("size").alias("size")), "mix-blocks")
     sizes = docs.select("source").distinct().join(
@@ -144,12 +144,17 @@ def cuts(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, se
     )
 
 
-def _key(u: Column, weight: Column) -> list[Column]:
+def blocks_for(rows: int) -> int:
+    """Key blocks per doubling. Most keys lie within three doublings."""
+    return max(BLOCKS, rows // BLOCK_ROWS)
+
+
+def _key(u: Column, weight: Column, blocks: int) -> list[Column]:
     """The logarithm of the exponential key, its block, and the draw that breaks ties of rounded keys."""
     w = F.coalesce(F.nanvl(weight.cast("double"), F.lit(1.0)), F.lit(1.0))
     w = F.greatest(F.least(w, F.lit(sys.float_info.max)), F.lit(math.ulp(0.0)))
     key = F.log(-F.log(u)) - F.log(w)
-    return [key.alias("key"), F.floor(key / math.log(2) * BLOCKS).cast("int").alias("block"), u.alias("u")]
+    return [key.alias("key"), F.floor(key / math.log(2) * blocks).cast("long").alias("block"), u.alias("u")]
 
 
 def mixed(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, seed: int = 1) -> DataFrame:
@@ -165,7 +170,8 @@ def mixed(docs: DataFrame, weight: Column, weights: Sequence[float] = WEIGHTS, s
 
 
 def _with_mix(docs: DataFrame, weight: Column, weights: Sequence[float], seed: int, out: str) -> DataFrame:
-    cut = written(cuts(docs, weight, weights, seed), "mix-cuts")
+    blocks = blocks_for(docs.count())
+    cut = written(cuts(docs, weight, weights, seed, blocks), "mix-cuts")
     if cut.count() <= BROADCAST_SOURCES:
         cut = F.broadcast(cut)
     named = unused(docs, "mix_cut")
@@ -173,7 +179,7 @@ def _with_mix(docs: DataFrame, weight: Column, weights: Sequence[float], seed: i
     c = lambda name: F.col(f"{named}.{name}")
     # The same expressions as in cuts(), computed once below the join.
     drawn = [unused(docs, "mix_" + name) for name in ("size", "key", "block", "u")]
-    rows = docs.select("*", *[e.alias(name) for e, name in zip((n_words(), *_key(uniform(seed), weight)), drawn)])
+    rows = docs.select("*", *[e.alias(name) for e, name in zip((n_words(), *_key(uniform(seed), weight, blocks)), drawn)])
     size, key, block, u = map(F.col, drawn)
     selected = F.coalesce(
         (size > 0) & ((block < c("edge")) | ((block == c("edge")) & ((key < c("last_key")) | ((key == c("last_key")) & (u <= c("last_u")))))),
