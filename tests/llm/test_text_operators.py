@@ -396,10 +396,27 @@ def test_fertility_measures_by_plain_encoding():
             p = np.array(list(Counter(ids).values())) / len(ids)
             assert got["chars_per_token"] == pytest.approx(sum(map(len, split)) / sum(len(bpe.encode_ordinary(" " + w)) for w in split))
             assert got["byte_share"] == pytest.approx(sum(map(pieces.is_byte, ids)) / len(ids))
-            assert got["entropy"] == pytest.approx(max(0, -(p * np.log2(p)).sum()) / min(np.log2(len(ids)), fertility.ENTROPY_BITS))
+            assert got["entropy"] == pytest.approx(max(0, -(p * np.log2(p)).sum())) and got["n_pieces"] == len(ids)
     assert [words.measures([t.encode()])[0]["script"] for t in ("ab 12", "слово", "漢字", "12 34")] == ["latin", "cyrillic", "cjk", "other"]
 
 
+def test_least_bits_lie_on_lines(spark):
+    numbers = [0, 1, 2, 3, 15, 16, 17, 64, 100, 1_000, 4_095, 4_096, 10**9]
+    columns = [fertility.least_bits(F.col("n"), script).alias(script) for script in fertility.BANDS]
+    for r in spark.createDataFrame([(n,) for n in numbers], "n long").select("n", *columns).collect():
+        for script, points in fertility.LEAST_BITS.items():
+            assert r[script] == pytest.approx(np.interp(np.log2(max(r.n, 1)), *zip(*points)))
+
+
+def test_bands_tell_labelled_rows_apart(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in QUERIES["op7_quality_rules"](spark, sf).where("NOT base_failed").collect()}
+    labels = [(r.quality, got[r.doc_id].kept) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id in got]
+    good, bad = ([kept for q, kept in labels if q == k] for k in (1, 0))
+    assert len(good) > 300 and sum(good) >= 0.995 * len(good)
+    assert len(bad) > 20 and sum(bad) <= 0.3 * len(bad)
+
+
 def test_fertility_rejects_gibberish_and_keeps_prose(spark):
     prose = " ".join(["the quick brown fox jumps over a lazy dog while nobody looks"] + [f"and {w} again" for w in "red green blue black".split()])
     rows = [(1, prose, "a"), (2, " ".join("\U00013000\U00013001" for _ in range(3)) + " " + " ".join("𓀀𓁐𓂀" + chr(0x13000 + i) for i in range(20)), "a")]

@@ -1,10 +1,12 @@
 """Quality rules: base counts, and tokeniser fertility with rejection bands per script.
 
 Two public vocabularies encode every word: a byte-level BPE one gives characters per token;
-one with byte fallback gives the share of fallback pieces and the entropy of the pieces,
-relative to the most that many pieces can have (the binary logarithm of their number, at
-most ``ENTROPY_BITS``). A document is rejected if a measure leaves the band of the script
-that most of its words are written in. Words are encoded once per worker and remembered.
+one with byte fallback gives the share of fallback pieces and the entropy of the pieces in bits.
+A document is rejected if a measure leaves the band of the script that most of its words are
+written in. Words are encoded once per worker and remembered.
+
+Longer texts have more entropy, so its band depends on the number of pieces: ``LEAST_BITS``
+has, per script, the least bits by the binary logarithm of that number, straight lines between.
 
 Bands lie just outside what prose of the script measures, so that random letters, hex and
 texts of very few words leave them. Both vocabularies know little but western languages:
@@ -35,19 +37,29 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import python_workers, unused
 
 WINDOW, MIN_WORDS, MAX_REPEATED = 5, 10, 0.20
-ENTROPY_BITS = 6.0
-#: script: characters per token (least, most), most byte fallback, least relative entropy
+#: script: characters per token (least, most), most byte fallback
 BANDS = {
-    "latin": (1.65, 8.0, 0.10, 0.80),
-    "latin extended": (0.72, 8.0, 0.10, 0.80),
-    "cyrillic": (0.68, 5.0, 0.10, 0.80),
-    "greek": (0.71, 5.0, 0.15, 0.66),
-    "cjk": (0.35, 3.0, 0.40, 0.68),
-    "hangul": (0.33, 3.0, 0.40, 0.75),
-    "arabic": (0.58, 5.0, 0.20, 0.63),
-    "hebrew": (0.65, 5.0, 0.20, 0.65),
-    "indic": (0.30, 5.0, 0.60, 0.66),
-    "other": (0.25, 8.0, 0.40, 0.60),
+    "latin": (1.65, 8.0, 0.10),
+    "latin extended": (0.72, 8.0, 0.10),
+    "cyrillic": (0.68, 5.0, 0.10),
+    "greek": (0.71, 5.0, 0.15),
+    "cjk": (0.35, 3.0, 0.40),
+    "hangul": (0.33, 3.0, 0.40),
+    "arabic": (0.58, 5.0, 0.20),
+    "hebrew": (0.65, 5.0, 0.20),
+    "indic": (0.30, 5.0, 0.60),
+    "other": (0.25, 8.0, 0.40),
+}
+#: script: (log2 of pieces, least bits). Of Latin prose a tenth of a bit below the least of labelled
+#: rows of each length; of the others, for want of such rows, a share of the most so many pieces
+#: can have, up to six bits of it.
+_SHARES = {
+    "latin extended": 0.80, "cyrillic": 0.80, "greek": 0.66, "cjk": 0.68, "hangul": 0.75, "arabic": 0.63, "hebrew": 0.65,
+    "indic": 0.66, "other": 0.60,
+}
+LEAST_BITS = {
+    "latin": ((0, 0.0), (4, 3.55), (5, 3.9), (6, 4.7), (7, 5.3), (8, 5.75), (9, 6.0), (10, 6.25), (11, 6.4), (12, 6.45)),
+    **{script: ((0, 0.0), (6, 6 * share)) for script, share in _SHARES.items()},
 }
 #: Of so many Latin words, one with a letter beyond Latin-1 makes the text extended.
 EXTENDED = 20
@@ -66,11 +78,11 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 MEASURES = pa.struct(
     [("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),
      ("n_repeat_words", pa.int64()), ("script", pa.string()), ("chars_per_token", pa.float64()),
-     ("byte_share", pa.float64()), ("entropy", pa.float64())]
+     ("byte_share", pa.float64()), ("n_pieces", pa.int64()), ("entropy", pa.float64())]
 )
 MEASURES_DDL = (
     "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,"
-    "script:string,chars_per_token:double,byte_share:double,entropy:double>"
+    "script:string,chars_per_token:double,byte_share:double,n_pieces:long,entropy:double>"
 )
 
 
@@ -168,7 +180,7 @@ class Words:
         n = len(at)
         row = {"n_words": n, "n_symbols": sum(map(text.count, SYMBOLS)), "n_dup_lines": dup_lines(text)}
         if not n:
-            return row | {"word_chars": 0, "n_repeat_words": 0, "script": None, "chars_per_token": None, "byte_share": None, "entropy": None}
+            return row | {"word_chars": 0, "n_repeat_words": 0, "script": None, "chars_per_token": None, "byte_share": None, "n_pieces": 0, "entropy": None}
         distinct, times = np.unique(at, return_counts=True)
         sums = times @ self.rows[distinct, :4]
         scripts = np.bincount(self.rows[distinct, 4], times, len(SCRIPTS))
@@ -181,14 +193,14 @@ class Words:
         where = np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
         counts = np.bincount(self.flat[where], np.repeat(times, lengths), self.n_ids)
         p = counts[counts > 0] / sums[2]
-        most = min(np.log2(max(sums[2], 2)), ENTROPY_BITS)
         return row | {
             "word_chars": int(sums[0]),
             "n_repeat_words": repeated(self.hash[at]),
             "script": SCRIPTS[int(scripts.argmax())],
             "chars_per_token": float(sums[0] / sums[1]),
             "byte_share": float(sums[3] / sums[2]),
-            "entropy": float(max(0.0, -(p * np.log2(p)).sum()) / most),
+            "n_pieces": int(sums[2]),
+            "entropy": float(max(0.0, -(p * np.log2(p)).sum())),
         }
 
 
@@ -236,10 +248,20 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > int(100 * MAX_REPEATED) * m["n_words"])
 
 
+def least_bits(pieces: Column, script: str) -> Column:
+    """The least entropy of a number of pieces: a line between the points around it."""
+    points, x = LEAST_BITS[script], F.log2(F.greatest(pieces, F.lit(1)))
+    out = F.lit(points[-1][1])
+    for (x0, y0), (x1, y1) in reversed(list(zip(points, points[1:]))):
+        out = F.when(x < x1, y0 + (x - x0) * ((y1 - y0) / (x1 - x0))).otherwise(out)
+    return out
+
+
 def within_bands(m: Column) -> Column:
     ok = F.lit(False)
-    for script, (least, most, fallback, entropy) in BANDS.items():
-        inside = m["chars_per_token"].between(least, most) & (m["byte_share"] <= fallback) & (m["entropy"] >= entropy)
+    for script, (least, most, fallback) in BANDS.items():
+        inside = m["chars_per_token"].between(least, most) & (m["byte_share"] <= fallback)
+        inside &= m["entropy"] >= least_bits(m["n_pieces"], script)
         ok = F.when(m["script"] == script, inside).otherwise(ok)
     return ok
 
