@@ -59,11 +59,11 @@ def test_old_entries_go_and_a_late_writer_loses(spark, work, monkeypatch):
 def test_runs_are_merged_by_levels(spark, work, monkeypatch):
     monkeypatch.setattr(mf, "FAN", 3)
     m, runs = book(spark, work), []
-    for n in range(20):
+    for n in range(11):
         runs = m.merged("t", [*runs, m.write_run("t", spark.range(n, n + 1))], spark.range(0).schema, lambda df: df.coalesce(1))
         assert len(runs) <= 6
-    assert sorted(r["id"] for r in m.read_runs(runs, spark.range(0).schema).collect()) == list(range(20))
-    assert sorted(r["level"] for r in runs) == [0, 0, 2, 2] and sum(r["n"] for r in runs) == 20
+    assert sorted(r["id"] for r in m.read_runs(runs, spark.range(0).schema).collect()) == list(range(11))
+    assert sorted(r["level"] for r in runs) == [0, 0, 2] and sum(r["n"] for r in runs) == 11
 
 
 def test_vacuum_spares_what_is_named_or_leased(spark, work):
@@ -84,17 +84,17 @@ def test_vacuum_spares_what_is_named_or_leased(spark, work):
 
 def test_progress_is_one_small_file_after_many_steps(spark, work, monkeypatch):
     store, sizes = fresh(spark, work), []
-    for n in range(1, 121):
+    for n in range(1, 61):
         batch = Batch(st.INCREMENTAL, n, 1, st.now_micros(), lo_micros=n, lo_id=n, hi_micros=n + 1, hi_id=n)
         store.append_ledger({**vars(batch), "kind": st.PLAN})
         store.commit(batch, {"n_rows": 1, "n_rejected": 0, "n_deleted": 0, "n_dead_letters": 0})
         number, _ = store.manifest.newest()
         sizes.append(len(store.manifest._entries.read(f"{number:012d}.json")))
-        assert len(store.ledger().inputFiles()) <= 2 * st.FOLD_EVERY
+    assert len(store.ledger().inputFiles()) <= 2 * st.FOLD_EVERY
     assert max(sizes) < 12_000
     monkeypatch.setattr(Store, "ledger", None)  # progress reads no table
     progress = store.progress(st.INCREMENTAL)
-    assert progress.cursor == (121, 120) and progress.next_batch_id == 121 and progress.open is None
+    assert progress.cursor == (61, 60) and progress.next_batch_id == 61 and progress.open is None
 
 
 def standing(store):
@@ -211,7 +211,7 @@ def test_compaction_writes_follow_the_changes(spark, work):
     replicate.run_incremental(store, source)
     store.compact(4)
     sizes = []
-    for n in range(6):
+    for n in range(4):
         for i in (n, 100 + n, 200 + n):
             source.rows[i] = record(i, version=2 + n, updated=1000 + n, amount="7", deleted=i == n)
         source.rows.append(record(1000 + n, updated=1000 + n))
@@ -222,7 +222,7 @@ def test_compaction_writes_follow_the_changes(spark, work):
         sizes.append(sum(r["n"] for r in runs if r["path"] not in before))
         assert documents(store) == expected(source.rows)
         assert len(runs) <= 4 and runs[0]["n"] == 400
-    assert max(sizes) <= 24
+    assert max(sizes) <= 16
     plan = store.state()._jdf.queryExecution().executedPlan().toString()
     assert len(store._snapshot()["runs"]) > 1 and "Exchange" not in plan[: plan.index("Union")]
     store.compact(2)  # other buckets: written anew

@@ -49,9 +49,9 @@ def stream(spark, path):
 
 def test_the_stream_has_what_the_batch_query_has(spark, work):
     rng = random.Random(6)
-    rows = [(rng.choice(["backfill", "incremental"]), rng.randrange(120_000), rng.randint(1, 9)) for _ in range(60)]
+    rows = [(rng.choice(["backfill", "incremental"]), rng.randrange(120_000), rng.randint(1, 9)) for _ in range(30)]
     rng.shuffle(rows)
-    write_samples(spark, work + "/in", [rows[i : i + 5] for i in range(0, 60, 5)])
+    write_samples(spark, work + "/in", [rows[i : i + 5] for i in range(0, 30, 5)])
     run = rates.count_windows(stream(spark, work + "/in"), work + "/out", late="5 minutes")
     run.awaitTermination()
     want = report.sliding_rate(spark.createDataFrame(rows, rates.SAMPLE)).collect()

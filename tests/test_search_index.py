@@ -48,10 +48,10 @@ CLAUSES = [{}, {"status": "active"}, {"status": "active", "country": "Peru"}, {"
 @pytest.mark.parametrize("clauses", CLAUSES)
 def test_pages_and_totals_are_those_of_a_scan(both, clauses):
     table, index = both
-    for page in (1, 2, 7, 40):
+    for page in (1, 7, 40):
         assert ids(index.page(page, 9, **clauses)) == ids(find.search_page(table, page, 9, **clauses))
     assert tuple(index.total(**clauses).first()) == tuple(find.search_total(table, **clauses).first())
-    for row in table.orderBy("id").limit(3).select(micros(F.col("updated_at")).alias("at"), "id").collect():
+    for row in table.orderBy("id").limit(1).select(micros(F.col("updated_at")).alias("at"), "id").collect():
         assert ids(index.after(row["at"], row["id"], 8, **clauses)) == ids(find.search_after(table, row["at"], row["id"], 8, **clauses))
 
 

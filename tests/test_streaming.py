@@ -189,7 +189,7 @@ def test_a_crash_of_the_consumer_loses_and_doubles_nothing(spark, work, monkeypa
 
 def test_totals_agree_at_every_moment_and_runs_stay_few(spark, work):
     raw, out = work + "/raw", work + "/out"
-    for n in range(20):
+    for n in range(12):
         spark.createDataFrame([(event(i),) for i in (n, n, n + 1)] + [("{",)], "value string").coalesce(1).write.mode("append").text(raw)
     parsed = consumer.parse_events(consumer.raw_event_stream(spark, raw, 1))
     run, seen = consumer.consume(parsed, out), []
@@ -197,13 +197,13 @@ def test_totals_agree_at_every_moment_and_runs_stay_few(spark, work):
         seen.append(tuple(consumer.totals(spark, out).first()))
     run.awaitTermination()
     seen.append(tuple(consumer.totals(spark, out).first()))
-    assert len(set(seen)) > 5 and seen[-1] == (21, 39, 20)
+    assert len(set(seen)) > 5 and seen[-1] == (13, 23, 12)
     # Each file holds three good deliveries and a poison one.
     assert all(new + again == 3 * bad and min(new, again, bad) >= 0 for new, again, bad in seen)
     runs = consumer.manifest(spark, out).newest()[1]["runs"]
     assert all(len(of) <= 12 for of in runs.values())
-    assert counted(spark, out)[("total", "processed")] == 21
-    assert consumer.poison(spark, out).count() == 20
+    assert counted(spark, out)[("total", "processed")] == 13
+    assert consumer.poison(spark, out).count() == 12
 
 
 def test_a_hot_change_is_reduced_before_it_meets_the_seen_set(spark, work):
