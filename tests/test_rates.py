@@ -1,5 +1,6 @@
 """Recorded samples, outcomes and lag of real runs; windows kept by a stream."""
 
+import glob
 import random
 
 import pytest
@@ -61,6 +62,41 @@ def test_the_stream_has_what_the_batch_query_has(spark, work):
     assert len(rates.manifest(spark, work + "/out").newest()[1]["rates"]) <= 9
 
 
+def run_files(spark, out):
+    """Files and rows of each run, oldest first."""
+    book = rates.manifest(spark, out)
+    runs = book.newest()[1]["rates"]
+    return [(len(glob.glob(f"{book.path(r['path'])}/*.parquet")), r["n"]) for r in runs]
+
+
+def test_no_task_gets_all_state_or_all_windows_of_a_run(spark, work, monkeypatch):
+    monkeypatch.setattr(rates, "FILE_ROWS", 50, raising=False)
+    rows = [("backfill" if i % 2 else "incremental", i * 4_000, 1 + i) for i in range(600)] + [(None, None, 1)]
+    write_samples(spark, work + "/in", [rows])
+    run = rates.count_windows(stream(spark, work + "/in"), work + "/out")
+    run.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(run.runId))]
+    stages = [tracker.getStageInfo(s) for job in jobs for s in job.stageIds]
+    state_tasks = run.recentProgress[0]["stateOperators"][0]["numShufflePartitions"]
+    # The input is one file, so no stage but that of the state has more tasks than one.
+    assert state_tasks == 3 and max(s.numTasks for s in stages) == state_tasks
+    want = report.sliding_rate(spark.createDataFrame(rows, rates.SAMPLE)).collect()
+    assert sorted(map(tuple, rates.rates(spark, work + "/out").collect())) == sorted(map(tuple, want))
+    assert run_files(spark, work + "/out") == [(3, len(want))] and len(want) > 3 * 50
+
+
+def test_a_small_micro_batch_leaves_one_file(spark, work):
+    rows = [("backfill", i * 1_000, 1) for i in range(200)]
+    write_samples(spark, work + "/in", [rows[i : i + 20] for i in range(0, 200, 20)])
+    rates.count_windows(stream(spark, work + "/in"), work + "/out", late="1 hour").awaitTermination()
+    # Eight runs were merged into the first.
+    files = run_files(spark, work + "/out")
+    assert len(files) == 3 and all(n <= 1 for n, _ in files)
+    want = report.sliding_rate(spark.createDataFrame(rows, rates.SAMPLE)).collect()
+    assert sorted(map(tuple, rates.rates(spark, work + "/out").collect())) == sorted(map(tuple, want))
+
+
 def test_late_samples_are_dropped_and_counted(spark, work):
     minute = 60_000
     write_samples(spark, work + "/in", [[("backfill", 0, 1)], [("backfill", 60 * minute, 2)]])

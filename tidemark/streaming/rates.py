@@ -3,6 +3,10 @@
 Windows are aggregated in Spark's state under a watermark. Each micro-batch publishes the
 windows it changed as a run; readers take the newest value of each window. So rates of windows
 that are still open can be read, and a micro-batch that comes again leaves the same result.
+
+The tasks that hold the state write what they changed; only as many are taken together as
+make a file of ``FILE_ROWS`` windows, after the state was updated. So neither the state nor a
+run ever passes one task, and a small micro-batch leaves one file.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 import threading
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +40,8 @@ RATE = T.StructType(
 )
 #: How far a sample may lie behind the newest one.
 LATE = "10 minutes"
+#: Windows of a run that make a file of their own.
+FILE_ROWS = 1 << 18
 
 
 def manifest(spark: SparkSession, out: str) -> Manifest:
@@ -52,16 +59,22 @@ def count_windows(samples: DataFrame, out: str, late: str = LATE, every: str | N
     keep_state_on_disk(spark)
 
     def write(changed: DataFrame, number: int) -> None:
-        run = book.write_run("rates", changed.withColumn("batch", F.lit(number).cast("long")).coalesce(1))
-        if not run["n"]:
-            return
+        # Kept before it is coalesced; else the tasks of the state would be coalesced with it.
+        kept = changed.withColumn("batch", F.lit(number).cast("long")).persist(StorageLevel.DISK_ONLY)
+        try:
+            n = kept.count()
+            if not n:
+                return
+            run = book.write_run("rates", kept.coalesce(-(-n // FILE_ROWS)))
+        finally:
+            kept.unpersist()
 
         def named(content: dict) -> dict:
             # A batch that comes again has the same windows under the same number.
             return {"rates": [*content.get("rates", []), run]}
 
         rates = book.step(named)["rates"]
-        merged = book.merged("rates", rates, RATE, lambda rows: _newest(rows).coalesce(1))
+        merged = book.merged("rates", rates, RATE, _newest)
         if merged != rates:
             book.step(lambda content: {"rates": merged})
 
